@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import exact_dedup, sharding
+from webloom.llm import decontaminate, exact_dedup, packing, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,21 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.length_histogram(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op2_sharding": op2_sharding}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op7_packing, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op3_decontaminate": decontaminate.ORACLE}
