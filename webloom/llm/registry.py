@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, exact_dedup, packing, sharding, token_counts
+from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,16 +27,24 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_id(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op7_packing, op9_token_counts)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op6_language_id, op7_packing, op8_quality, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
