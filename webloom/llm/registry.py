@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts
+from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +43,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op6_language_id, op7_packing, op8_quality, op9_token_counts)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op6_language_id, op7_packing, op8_quality, op9_token_counts, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
