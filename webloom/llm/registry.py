@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts, warc
+from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op6_language_id, op7_packing, op8_quality, op9_token_counts, op10_warc)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op4_toxicity, op6_language_id, op7_packing, op8_quality, op9_token_counts, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
