@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webloom.llm import decontaminate, exact_dedup, langid, packing, quality, sharding, token_counts, toxicity, warc
+from webloom.llm import decontaminate, exact_dedup, langid, ngram_join, packing, quality, sharding, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op4_toxicity, op6_language_id, op7_packing, op8_quality, op9_token_counts, op10_warc)}
+    import corpus_pipeline
+
+    own = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_decontaminate, op4_toxicity, op5_ngram_join, op6_language_id, op7_packing, op8_quality, op9_token_counts, op10_warc)}
+    return own | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
