@@ -3,16 +3,17 @@
 Documents of equal shingle sets are one row of the matrix.  Each set is ordered
 by one order of all shingles, frequent ones last, and cut after the prefix within
 which two sets similar enough must meet.  The columns of these prefixes are dealt in
-blocks by shingle hash; in a block, columns with a single entry drop out.  Products
-of the columns that are left, summed by pair of rows, are the overlaps inside the
-prefixes; what lies beyond is bounded by the sizes of the sets, and pairs whose
-bound is too low are discarded.  The others are multiplied out in full.
+blocks by shingle hash; in a block, columns with a single entry drop out.  Two rows
+are multiplied if they meet in a column where both still have enough entries to
+come, which their sizes and places say.  Their product over the prefix columns is
+the overlap there; what lies beyond is bounded by the sizes of the sets, and pairs
+whose bound is too low are discarded.  The others are multiplied out in full.
 
 Only components are asked for, so pairs inside one are not needed.  Columns are
 first multiplied for neighbours of similar size alone, as many products as
 entries, and the links found join most of a large group of near copies.  The
-last product then takes every pair of rows of different components, so that no link
-between two is lost.
+last products then take every pair of rows of different components, those of long
+columns as blocks of rows by blocks of rows, so that no link between two is lost.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ FREQUENT = 16
 MOST_FREQUENT = 500_000
 #: Prefix entries for one block of columns.
 BLOCK_ENTRIES = 1_000_000
+#: A column with more entries than this, of several components, is long and multiplied in blocks of rows.
+LONG_COLUMN = 128
+#: Rows of such a block, about.
+BLOCK_ROWS = 512
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,8 +71,8 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n + (-percent * n) // 100 + 1, 0)
 
 
-def prefixes(sets: np.ndarray, at: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which entries are in the prefix of their row, which of these are frequent, and the last of each prefix in the order.
+def prefixes(sets: np.ndarray, at: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Which entries are in the prefix of their row, which of these are frequent, the place of each, and the last of each prefix in the order.
 
     The order: shingles that are not frequent by hash, then the frequent ones by
     count and hash.  The last is given as (count or 0, hash).
@@ -81,7 +86,8 @@ def prefixes(sets: np.ndarray, at: np.ndarray, percent: int, frequent: np.ndarra
         where = np.searchsorted(frequent, sets).clip(max=len(frequent) - 1)
         often = frequent[where] == sets
     rank = np.concatenate([[0], np.cumsum(~often)])
-    inside = ~often & (rank[:-1] - rank[at[row]] < p[row])
+    place = rank[:-1] - rank[at[row]]
+    inside = ~often & (place < p[row])
     last_count, last_hash = np.zeros(len(n), np.int64), np.zeros(len(n), np.uint64)
     position = np.where(inside, np.arange(len(sets)), -1)
     held = np.flatnonzero(n)
@@ -91,10 +97,11 @@ def prefixes(sets: np.ndarray, at: np.ndarray, percent: int, frequent: np.ndarra
         last_hash[held[some]] = sets[end[some]]
     for r in np.flatnonzero(rank[at[1:]] - rank[at[:-1]] < p).tolist():
         own = np.arange(at[r], at[r + 1])[often[at[r] : at[r + 1]]]
-        own = own[np.lexsort((sets[own], counts[where[own]]))][: p[r] - int(rank[at[r + 1]] - rank[at[r]])]
-        inside[own] = True
+        seldom = int(rank[at[r + 1]] - rank[at[r]])
+        own = own[np.lexsort((sets[own], counts[where[own]]))][: p[r] - seldom]
+        inside[own], place[own] = True, seldom + np.arange(len(own))
         last_count[r], last_hash[r] = counts[where[own[-1]]], sets[own[-1]]
-    return inside, often & inside, last_count, last_hash
+    return inside, often & inside, place, last_count, last_hash
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -116,7 +123,7 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _batch_prefixes(batch: pa.RecordBatch, size: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Prefix entries of the distinct sets of a batch: hashes, signatures, frequent or not; and for each set its signature and last entry."""
+    """Prefix entries of the distinct sets of a batch: hashes, signatures, frequent or not, places; and for each set its signature and last entry."""
     data, offsets = string_buffers(batch.column(0))
     known = np.empty(0, np.uint64)
     parts: list[tuple[np.ndarray, ...]] = []
@@ -127,13 +134,13 @@ def _batch_prefixes(batch: pa.RecordBatch, size: int, percent: int, frequent: np
         fresh[np.unique(sig, return_index=True)[1]] = True
         fresh &= (n > 0) & ~np.isin(sig, known)
         known = np.concatenate([known, sig[fresh]])
-        inside, often, last_count, last_hash = prefixes(sets, at, percent, frequent, counts)
+        inside, often, place, last_count, last_hash = prefixes(sets, at, percent, frequent, counts)
         use = inside & np.repeat(fresh, n)
-        parts.append((sets[use], np.repeat(sig, n)[use], often[use], sig[fresh], last_count[fresh], last_hash[fresh]))
+        parts.append((sets[use], np.repeat(sig, n)[use], often[use], place[use].astype(np.int32), sig[fresh], last_count[fresh], last_hash[fresh]))
     if not parts:
         none = np.empty(0, np.uint64)
-        return none, none, np.empty(0, bool), none, np.empty(0, np.int64), none
-    return tuple(np.concatenate([p[k] for p in parts]) for k in range(6))
+        return none, none, np.empty(0, bool), np.empty(0, np.int32), none, np.empty(0, np.int64), none
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(7))
 
 
 def frequent_shingles(docs: DataFrame, size: int, percent: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +177,7 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, blocks: int) ->
 
 
 def shared_columns(docs: DataFrame, size: int, percent: int, blocks: int, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[DataFrame, DataFrame]:
-    """Entries (h, sig) of prefix columns that have two entries or more, and the last prefix entry (sig, count, hash) of each set.
+    """Entries (h, sig, place) of prefix columns that have two entries or more, and the last prefix entry (sig, count, hash) of each set.
 
     Columns that are not frequent meet in blocks; the entries of frequent ones need no
     check and go through in as many parts as there are blocks.
@@ -181,15 +188,15 @@ def shared_columns(docs: DataFrame, size: int, percent: int, blocks: int, freque
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for batch in batches:
-            h, sig, often, own, last_count, last_hash = _batch_prefixes(batch, size, percent, *shared.value)
+            h, sig, often, place, own, last_count, last_hash = _batch_prefixes(batch, size, percent, *shared.value)
             order = np.flatnonzero(~often)
             order = order[np.argsort(h[order], kind="stable")]
             edge = np.searchsorted(h[order] >> shift, np.arange(blocks + 1, dtype=np.uint64))
-            rows = [(b, h[order[x:y]].tobytes(), sig[order[x:y]].tobytes(), b"") for b, (x, y) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if y > x]
+            rows = [(b, h[order[x:y]].tobytes(), sig[order[x:y]].tobytes(), place[order[x:y]].tobytes()) for b, (x, y) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)) if y > x]
             for k in range(0, int(often.sum()), 50_000):
                 part = np.flatnonzero(often)[k : k + 50_000]
                 turn += 1
-                rows.append((blocks + (int(h[part[0]]) + turn) % blocks, h[part].tobytes(), sig[part].tobytes(), b""))
+                rows.append((blocks + (int(h[part[0]]) + turn) % blocks, h[part].tobytes(), sig[part].tobytes(), place[part].tobytes()))
             for k in range(0, len(own), 50_000):
                 turn += 1
                 rows.append((2 * blocks + (int(own[k]) + turn) % blocks, own[k : k + 50_000].tobytes(), last_hash[k : k + 50_000].tobytes(), last_count[k : k + 50_000].tobytes()))
@@ -198,23 +205,22 @@ def shared_columns(docs: DataFrame, size: int, percent: int, blocks: int, freque
     def meet(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         a, b = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(k)]) for k in ("a", "b"))
-        c = np.zeros(len(a), np.int64)
-        if block >= 2 * blocks:
-            c = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table.column("c")])
-        elif block < blocks:
+        kind = np.int64 if block >= 2 * blocks else np.int32
+        c = np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column("c")]).astype(np.int64)
+        if block < blocks:
             order = np.lexsort((b, a))
-            a, b = a[order], b[order]
+            a, b, c = a[order], b[order], c[order]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            a, b = a[new], b[new]
+            a, b, c = a[new], b[new], c[new]
             same = a[1:] == a[:-1]
             held = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-            a, b, c = a[held], b[held], np.zeros(int(held.sum()), np.int64)
+            a, b, c = a[held], b[held], c[held]
         kind = np.full(len(a), 1 if block >= 2 * blocks else 0, np.int32)
         return pa.table({"kind": pa.array(kind), "a": _signed(a), "b": _signed(b), "c": pa.array(c, pa.int64())})
 
     met = docs.select("text").mapInArrow(send, "block int, a binary, b binary, c binary").groupBy("block").applyInArrow(meet, "kind int, a long, b long, c long")
     met = written(met, "columns")
-    entries = met.filter("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("sig")).distinct()
+    entries = met.filter("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("sig"), F.col("c").cast("int").alias("place")).distinct()
     # hashes count as unsigned in the order
     lasts = met.filter("kind = 1").groupBy(F.col("a").alias("sig")).agg(F.min("c").alias("last_count"), (F.min(F.col("b").bitwiseXOR(F.lit(-(2**63))))).alias("last_hash"))
     return entries, lasts
@@ -225,10 +231,9 @@ def enough(both: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return both * (100 + percent) >= (n_a + n_b) * percent
 
 
-def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b of signatures, each once) whose sets link: the full rows multiplied out."""
-    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct().join(classes.select("sig", F.col("low").alias("wanted")), "sig").select("wanted")
-    wanted = written(wanted, "wanted")
+def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """The full set (sig, items as bytes) of each of ``sigs``, made anew from one document of the class."""
+    wanted = written(sigs.distinct().join(classes.select("sig", F.col("low").alias("wanted")), "sig").select("wanted"), "wanted")
     known = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     rows = docs.join(known, docs["id"].eqNullSafe(known["wanted"]), "left_semi").select("text")
 
@@ -240,7 +245,12 @@ def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int
                 blobs = [sets[x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([_signed(signatures(sets, at)), pa.array(blobs, pa.binary())], ["sig", "items"])
 
-    held = written(rows.mapInArrow(run, "sig long, items binary"), "sets").dropDuplicates(["sig"])
+    return written(rows.mapInArrow(run, "sig long, items binary"), "sets").dropDuplicates(["sig"])
+
+
+def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b of signatures, each once) whose sets link: the full rows multiplied out."""
+    held = full_rows(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")), docs, classes, size)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,35 +266,130 @@ def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int
     return both.mapInArrow(multiply, "a long, b long")
 
 
+def block_product(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Overlap counts of all rows of one block with all of another, summed up over stretches of columns."""
+    rows = [*left, *right]
+    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+    _, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    use = times[column] > 1
+    row, column = row[use], column[use]
+    column = np.unique(column, return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        x, y = np.searchsorted(column, [low, low + width])
+        part = np.zeros((len(rows), width), np.float32)
+        part[row[x:y], column[x:y] - low] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out
+
+
+def _joining(linked: np.ndarray, left: list[int], right: list[int]) -> list[tuple[int, int]]:
+    """A few of the linked pairs that join the same rows as all of them do."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while top.setdefault(x, x) != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        a, b = find(left[i]), find(right[j])
+        if a != b:
+            top[a] = b
+            out.append((left[i], right[j]))
+    return out
+
+
+def family_links(entries: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all rows of ``entries``, those of long columns, which link.
+
+    Columns that occur in one row together are of one family; its rows are dealt to
+    blocks by size and hash, and each two blocks of sizes that can link are
+    multiplied as matrices in one task.  Two blocks that are already one component
+    are passed over.  However large a family, no task holds more than two blocks.
+    """
+    least = entries.groupBy("sig").agg(F.min("h").alias("h0"), F.first("n").alias("n"), F.first("root").alias("root"))
+    beside = entries.join(least.select("sig", "h0"), "sig").select(F.col("h0").alias("a"), F.col("h").alias("b")).distinct()
+    families = components(beside).select(F.col("node").alias("h0"), F.col("root").alias("family"))
+    base = float(np.log(100 / percent)) if percent < 100 else 1.0
+    rows = least.join(families, "h0", "left").select("sig", "n", "root", F.coalesce("family", "h0").alias("family"), F.floor(F.log("n") / base).alias("level"))
+    rows = written(rows, "family-rows")
+    counts = rows.groupBy("family", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    sets = full_rows(rows.select("sig"), docs, classes, size)
+    full = rows.join(counts, ["family", "level"]).join(sets, "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")))
+    other = counts.select("family", F.col("level").alias("level2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part2"))
+    met = full.join(other, "family").filter(F.abs(F.col("level") - F.col("level2")) <= 1)
+    own, its = F.struct("level", "part"), F.struct(F.col("level2").alias("level"), F.col("part2").alias("part"))
+    dealt = met.select("sig", "root", "items", "family", F.least(own, its).alias("one"), F.greatest(own, its).alias("two"), (own <= its).alias("first"))
+
+    def multiply(table: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
+        if len(table.column("root").unique()) > 1:
+            first, sig = table.column("first").to_pylist(), table.column("sig").to_pylist()
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+            alone = table.column("one")[0] == table.column("two")[0]
+            left = [i for i, f in enumerate(first) if f]
+            right = left if alone else [i for i, f in enumerate(first) if not f]
+            if left and right:
+                n = np.array([len(x) for x in items], np.float64)
+                both = block_product([items[i] for i in left], [items[i] for i in right])
+                linked = both.astype(np.float64) * (100 + percent) >= (n[left][:, None] + n[right][None, :]) * percent
+                out = _joining(linked, [sig[i] for i in left], [sig[i] for i in right])
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return dealt.groupBy("family", "one", "two").applyInArrow(multiply, "a long, b long").filter("a <> b")
+
+
+def may_begin(place: Column, n: Column, other: Column, percent: int) -> Column:
+    """Whether a set of ``n`` that first meets another at ``place`` can still share enough with it."""
+    return (n - place) * (100 + percent) >= (n + other) * percent
+
+
 def neighbour_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of neighbours by size in the columns, of different components, that are neighbours in some share of their prefixes.
+    """Pairs (a, b) of rows of different components that are neighbours by size in a column where they may begin to meet.
 
     A long column is cut in parts of about a thousand entries, other ones each turn.
     """
     parts = F.greatest(F.lit(1), F.floor(F.col("m") / 1000)).cast("int")
     spread = entries.withColumn("part", F.pmod(F.xxhash64("sig", F.lit(turn)), parts))
     order = Window.partitionBy("h", "part").orderBy("n", F.xxhash64("sig", F.lit(turn)))
-    beside = spread.select("sig", "n", "root", F.lag("sig").over(order).alias("sig2"), F.lag("n").over(order).alias("n2"), F.lag("root").over(order).alias("root2"))
-    beside = beside.filter((F.col("root") != F.col("root2")) & (F.col("n2") * 100 >= F.col("n") * percent))
-    pairs = beside.groupBy(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
-    return pairs.filter(F.col("c") * 50 >= F.col("n")).select("a", "b")
+    beside = spread.select("sig", "n", "place", "root", *[F.lag(c).over(order).alias(c + "2") for c in ("sig", "n", "place", "root")])
+    beside = beside.filter((F.col("root") != F.col("root2")) & may_begin(F.col("place"), F.col("n"), F.col("n2"), percent) & may_begin(F.col("place2"), F.col("n2"), F.col("n"), percent))
+    return beside.select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).distinct()
+
+
+def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of rows of different components that meet in a column where they may begin to.
+
+    Rows meet by column and class of size; sets that can link are of the same or
+    of neighbouring classes.
+    """
+    base = float(np.log(100 / percent)) if percent < 100 else 1.0
+    left = entries.select("h", "sig", "n", "place", "root").withColumn("level", F.floor(F.log("n") / base))
+    right = left.select(*[F.col(c).alias(c + "2") for c in ("sig", "n", "place", "root")], "h", F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
+    met = left.join(right, ["h", "level"]).filter(
+        (F.col("sig") < F.col("sig2")) & (F.col("root") != F.col("root2")) & may_begin(F.col("place"), F.col("n"), F.col("n2"), percent) & may_begin(F.col("place2"), F.col("n2"), F.col("n"), percent)
+    )
+    return met.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct()
 
 
-def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of rows of different components whose product over the prefix columns leaves the bound open.
+def within_bound(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` whose product over the prefix columns leaves the bound open.
 
-    The part of the overlap that lies beyond the prefix which ends first is at most
-    what that set has left.  Rows meet by column and class of size; sets that can
-    link are of the same or of neighbouring classes.
+    ``rows`` has the columns ``held`` of each sig, its size and its last prefix
+    entry.  What two sets share beyond the prefix that ends first is at most what
+    that set has left.
     """
-    base = np.log(100 / percent) if percent < 100 else 1.0
-    several = entries.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("h")
-    left = entries.join(several, "h").withColumn("level", F.floor(F.log("n") / base))
-    right = left.select(*[F.col(c).alias(c + "2") for c in ("sig", "n", "root", "p", "last_count", "last_hash")], "h", F.explode(F.sequence(F.col("level") - 1, F.col("level") + 1)).alias("level"))
-    met = left.join(right, ["h", "level"]).filter((F.col("sig") < F.col("sig2")) & (F.col("root") != F.col("root2")) & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent))
-    rest = F.when(F.struct("last_count", "last_hash") <= F.struct("last_count2", "last_hash2"), F.col("n") - F.col("p")).otherwise(F.col("n2") - F.col("p2"))
-    sums = met.groupBy(F.col("sig").alias("a"), F.col("sig2").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("n2").alias("n2"), F.first(rest).alias("rest"))
-    return sums.filter(enough(F.least(F.col("c") + F.col("rest"), F.col("n"), F.col("n2")), F.col("n"), F.col("n2"), percent)).select("a", "b")
+    a = rows.select(F.col("sig").alias("a"), *[F.col(c).alias(c + "_a") for c in ("held", "n", "p", "last_count", "last_hash")])
+    b = rows.select(F.col("sig").alias("b"), *[F.col(c).alias(c + "_b") for c in ("held", "n", "p", "last_count", "last_hash")])
+    both = F.size(F.array_intersect("held_a", "held_b"))
+    first = F.struct("last_count_a", "last_hash_a") <= F.struct("last_count_b", "last_hash_b")
+    rest = F.when(first, F.col("n_a") - F.col("p_a")).otherwise(F.col("n_b") - F.col("p_b"))
+    return pairs.join(a, "a").join(b, "b").filter(enough(both + rest, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75, turns: int = 2) -> DataFrame:
@@ -309,20 +414,31 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     frequent = frequent_shingles(docs, size, percent, blocks)
     _release(spark)
     entries, lasts = shared_columns(docs, size, percent, blocks, frequent)
-    entries = entries.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))) if not len(frequent[0]) else entries.join(entries.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "h")
-    nodes = classes.join(lasts, "sig").withColumn("p", p).select("sig", "n", "p", "last_count", "last_hash")
-    entries = written(entries.join(nodes, "sig"), "entries")
+    lengths = entries.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    sizes = classes.select("sig", "n", p.alias("p"))
+    entries = written(entries.join(lengths, "h").join(sizes.select("sig", "n"), "sig"), "entries")
+    rows_of = entries.groupBy("sig").agg(F.collect_list("h").alias("held")).join(sizes, "sig").join(lasts, "sig")
+    rows_of = written(rows_of, "prefix-rows")
     _release(spark)
     links, roots, tested = None, None, None
     for turn in range(turns + 1):
         now = entries.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")) if roots is not None else entries.withColumn("root", F.col("sig"))
-        pairs = neighbour_pairs(now, turn, percent) if turn < turns else open_pairs(now, percent)
+        if turn == turns:
+            several = now.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo <> hi")
+            now = written(now.join(several.select("h", "k"), "h"), "open-entries")
+            long = now.filter(F.col("k") > LONG_COLUMN)
+            if not long.isEmpty():
+                more = written(family_links(long, docs, classes, size, percent), "family-links")
+                links = more if links is None else links.unionByName(more)
+        pairs = neighbour_pairs(now, turn, percent) if turn < turns else all_pairs(now.filter(F.col("k") <= LONG_COLUMN), percent)
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if pairs.isEmpty():
+        open_ = written(within_bound(pairs, rows_of, percent), "open")
+        if not open_.isEmpty():
+            found = written(links_among(open_, docs, classes, size, percent), "links")
+            links = found if links is None else links.unionByName(found)
+        if links is None:
             continue
-        found = written(links_among(pairs, docs, classes, size, percent), "links")
-        links = found if links is None else links.unionByName(found)
         roots = components(links).select(F.col("node").alias("sig"), "root")
         _release(spark)
     of_class = classes.select("sig", "low")
