@@ -6,8 +6,9 @@ the same neighbours, so the graph is contracted to *fragments* (group, shard,
 count); a group of any size has at most as many fragments as there are shards.
 Each round joins the fragments with their group's votes and with the free room of
 the shards: fragments move towards the shard that most of their neighbours are
-in, those with the strongest pull first, as far as the quota of that shard goes,
-and a fragment that doesn't fit is split.  A group larger than a shard settles on
+in, among those with room for all of the group if there are any, those with the
+strongest pull first, as far as the quota of that shard goes, and a fragment that
+doesn't fit is split.  A group larger than a shard settles on
 several shards.  Documents without links can be anywhere at no cost; they fill
 up what the others leave, so that counts are at most one apart.
 
@@ -37,11 +38,13 @@ def propagate(fragments: DataFrame, quota: list[int], rounds: int) -> tuple[Data
     shards = len(quota)
     load = _loads(fragments, shards)
     of_group = Window.partitionBy("grp")
-    ranked = of_group.orderBy(F.desc("n"), "shard")
+    ranked = of_group.orderBy(F.desc("fits"), F.desc("n"), F.desc("free"), "shard")
     for _ in range(rounds):
         free = [max(0, q - x) for q, x in zip(quota, load, strict=True)]
         votes = (
-            fragments.withColumn("place", F.row_number().over(ranked))
+            fragments.withColumn("free", _pick(free, F.col("shard")))
+            .withColumn("fits", F.col("free") >= F.sum("n").over(of_group) - F.col("n"))
+            .withColumn("place", F.row_number().over(ranked))
             .withColumn("wide", F.ceil(F.sum("n").over(of_group) / max(1, min(quota))).cast("int"))
             .withColumn("votes", F.array_sort(F.collect_list(F.struct("place", "shard", "n")).over(of_group)))
         )
@@ -74,7 +77,7 @@ def propagate(fragments: DataFrame, quota: list[int], rounds: int) -> tuple[Data
     return fragments, load
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4, buckets: int = 1024) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", rounds: int = 6, buckets: int = 1024) -> DataFrame:
     """Put every row into one of ``shards`` shards; the counts of any two differ by one at most.
 
     Returns one row for each row of ``docs``: the id, size (UTF-8 bytes of the
