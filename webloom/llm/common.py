@@ -96,6 +96,21 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     return docs.join(ids, id_col, "left_anti")
 
 
+#: Called to free what a worker process keeps between tasks.
+WORKER_CACHES: list = []
+
+
+def clear_worker_caches() -> None:
+    """Free what earlier operators keep in this worker process; memory-hungry ones call it first."""
+    import ctypes
+    import sys
+
+    for clear in WORKER_CACHES:
+        clear()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column, without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, mix, run_hashes, span_hashes, word_spans
-from webloom.llm.common import BROADCAST_IDS, hash_bucket, row_slices, string_buffers, without_ids, written
+from webloom.llm.common import BROADCAST_IDS, clear_worker_caches, hash_bucket, row_slices, string_buffers, without_ids, written
 from webloom.llm.components import components
 
 #: A shingle of more documents than this is frequent and goes last in the order.
@@ -113,6 +113,7 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker_caches()
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))
             for i, j in row_slices(offsets):
@@ -153,6 +154,7 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, blocks: int) ->
     shift = np.uint64(64 - (blocks.bit_length() - 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker_caches()
         for batch in batches:
             h, n = np.unique(_batch_prefixes(batch, size, percent, none, zero)[0], return_counts=True)
             edge = np.searchsorted(h >> shift, np.arange(blocks + 1, dtype=np.uint64))
@@ -186,6 +188,7 @@ def shared_columns(docs: DataFrame, size: int, percent: int, blocks: int, freque
     shift = np.uint64(64 - (blocks.bit_length() - 1))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker_caches()
         turn = 0
         for batch in batches:
             h, sig, often, place, own, last_count, last_hash = _batch_prefixes(batch, size, percent, *shared.value)

@@ -129,6 +129,11 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         .select("id", "size", "crc", "b", F.element_at(F.filter("stretches", lambda x: x["upto"] > F.col("rank")), 1)["shard"].alias("shard")),
         "placed",
     )
+    if any(x > q for x, q in zip(load, quota, strict=True)):  # linked documents that found no room are placed with the others
+        nth = with_rank(placed.filter("shard is not null"), ["shard"], "b", ["id", "crc"], "nth", small=True)
+        kept = nth.withColumn("shard", F.when(F.col("nth") < _pick(quota, F.col("shard")), F.col("shard"))).drop("nth")
+        placed = written(kept.select(*placed.columns).unionByName(placed.filter("shard is null")), "placed")
+        load = [min(x, q) for x, q in zip(load, quota, strict=True)]
     # ballast: documents without links take the room that is left, by rank
     alone = with_rank(placed.filter("shard is null").drop("shard"), [], "b", ["id", "crc"], "rank", small=True)
     alone = alone.withColumn("shard", _first_above([quota[s] - load[s] for s in range(shards)], F.col("rank"))).drop("rank")

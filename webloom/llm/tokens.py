@@ -19,6 +19,7 @@ from pathlib import Path
 import numpy as np
 
 from webloom.llm.bytewords import LOWER, span_hashes
+from webloom.llm.common import WORKER_CACHES
 
 #: The tokenizer file that queries use if none is given.
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
@@ -76,7 +77,7 @@ def piece_spans(data: np.ndarray, offsets: np.ndarray, split: bool) -> tuple[np.
 class PieceTokenizer:
     """Encodes buffers of texts; keeps the ids of up to ``most`` distinct pieces."""
 
-    def __init__(self, path: str, most: int = 3_000_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -137,7 +138,10 @@ class PieceTokenizer:
         return self.pool[at], bounds[first]
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def worker_tokenizer(path: str) -> PieceTokenizer:
     """The tokenizer of this worker process; what it has learnt serves later tasks too."""
     return PieceTokenizer(path)
+
+
+WORKER_CACHES.append(worker_tokenizer.cache_clear)
