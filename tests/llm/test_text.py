@@ -168,7 +168,7 @@ def test_language_of_awkward_texts(spark):
 
 def test_slots_do_not_reach_into_the_next_row():
     both, at = langid.slots(*string_buffers(pa.array(["ab", None, "cd e"])))
-    alone = [langid.slots(*string_buffers(pa.array([t])))[0].tolist() for t in ("ab", "", "cd e")]
+    alone = [langid.slots(*string_buffers(pa.array([t], pa.string())))[0].tolist() for t in ("ab", "", "cd e")]
     assert [both[at[i] : at[i + 1]].tolist() for i in range(3)] == alone
 
 
@@ -214,7 +214,7 @@ def test_statistics_are_of_each_row_alone():
     data, offsets = string_buffers(pa.array(texts))
     whole = quality.statistics(data, offsets)
     for i, t in enumerate(texts):
-        assert np.allclose(whole[i], quality.statistics(*string_buffers(pa.array([t])))[0])
+        assert np.allclose(whole[i], quality.statistics(*string_buffers(pa.array([t], pa.string())))[0])
 
 
 # ---------------------------------------------------------------- toxicity
@@ -241,7 +241,7 @@ def test_disguised_words_are_found(scorer, text):
 
 @pytest.mark.parametrize("text", [None, "", "water and stone", "a b c d e", "12 34!", "http://x.y/z", "id 10", "!!!", "w@ter", "thhhere", "x" * 2_500_000])
 def test_clean_texts_are_left_alone(scorer, text):
-    assert scorer.score(*string_buffers(pa.array([text])))[0] < 0.5
+    assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
 
 
 def test_decode_is_viterbi(scorer):
