@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -111,6 +112,18 @@ def clear_worker_caches() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """While it lasts, Arrow batches have at most ``n`` rows; for rows of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column, without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

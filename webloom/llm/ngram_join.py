@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, mix, run_hashes, span_hashes, word_spans
-from webloom.llm.common import BROADCAST_IDS, clear_worker_caches, hash_bucket, row_slices, string_buffers, without_ids, written
+from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, row_slices, string_buffers, without_ids, written
 from webloom.llm.components import components
 
 #: A shingle of more documents than this is frequent and goes last in the order.
@@ -38,6 +38,8 @@ MOST_FREQUENT = 500_000
 BLOCK_ENTRIES = 1_000_000
 #: A column with more entries than this, of several components, is long and multiplied in blocks of rows.
 LONG_COLUMN = 128
+#: Rows of an Arrow batch; those of a join hold two whole sets each.
+BATCH_ROWS = 1000
 #: Rows of such a block, about.
 BLOCK_ROWS = 512
 
@@ -405,6 +407,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     that are null are passed over for component_id, which is null if a component
     has no other.  An empty table gives an empty result.
     """
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):  # all Python runs before this returns
+        return _components(docs, id_col, text_col, size, percent, turns)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, turns: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(set_rows(docs, size).withColumn("salt", hash_bucket("id", 64)), "set-rows")
