@@ -93,7 +93,7 @@ class PieceTokenizer:
         self.used = 0
 
     def _add(self, at: np.ndarray, keys: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for k in range(0, len(texts), 4096) for e in self.tokenizer.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int32, len(ids))
         flat = np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))
         if self.used + len(flat) > len(self.pool):
