@@ -58,7 +58,7 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3, most: in
     """Patterns and how often each is used, to serve ``demand[c - 1]`` pieces of each size c exactly.
 
     Column generation on the revised simplex method; stops when the bound on the
-    optimum is within ``gap``, or when 64 columns have gained less than that.  The
+    optimum is within ``gap``, or when 512 columns have gained less than that.  The
     fractional rest is packed best-fit.
     """
     classes = np.flatnonzero(demand) + 1
@@ -72,7 +72,7 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3, most: in
     value = np.zeros(capacity)
     before = np.inf
     for step in range(most):
-        if step % 64 == 63:
+        if step % 512 == 511:
             if before - amount.sum() < gap * before:
                 break
             before = amount.sum()
