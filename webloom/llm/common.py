@@ -103,11 +103,16 @@ WORKER_CACHES: list = []
 
 def clear_worker_caches() -> None:
     """Free what earlier operators keep in this worker process; memory-hungry ones call it first."""
+    for clear in WORKER_CACHES:
+        clear()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Give memory that is free in this process back to the system."""
     import ctypes
     import sys
 
-    for clear in WORKER_CACHES:
-        clear()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)
 

@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from webloom.llm.common import hash_bucket, row_slices, string_buffers, with_rank, written
+from webloom.llm.common import arrow_rows, row_slices, string_buffers, trim_memory, with_rank, written
 from webloom.llm.tokens import END_ID, tokenizer_path, worker_tokenizer
 
 #: Width of a length class in tokens.
 CLASS_WIDTH = 16
+#: Rows of an Arrow batch, so that a batch of long texts stays small.
+BATCH_ROWS = 1000
 
 
 def best_pattern(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -145,6 +147,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, li
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         known = worker_tokenizer(path)
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))
@@ -180,10 +183,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     An empty table gives an empty result.
     """
     pieces = token_pieces(docs, id_col, text_col, tokenizer, limit, keep_ids)
-    pieces = written(
-        pieces.withColumn("cls", F.ceil(F.col("length") / CLASS_WIDTH).cast("int")).withColumn("b", F.pmod(F.xxhash64("id", "start"), F.lit(buckets)).cast("int")),
-        "pieces",
-    )
+    pieces = pieces.withColumn("cls", F.ceil(F.col("length") / CLASS_WIDTH).cast("int")).withColumn("b", F.pmod(F.xxhash64("id", "start"), F.lit(buckets)).cast("int"))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        pieces = written(pieces, "pieces")
     capacity = limit // CLASS_WIDTH
     demand = np.zeros(capacity, np.int64)
     for r in pieces.groupBy("cls").count().collect():  # at most ``capacity`` rows
