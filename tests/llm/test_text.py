@@ -244,6 +244,16 @@ def test_clean_texts_are_left_alone(scorer, text):
     assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
 
 
+@pytest.mark.parametrize("text", ["i d i o t!", "an i d i o t?", "(i d i o t)", '"i d i o t"', "s c u m!", "id iot", "an id iot here", "mo r on"])
+def test_spaced_words_with_marks_and_in_part_are_found(scorer, text):
+    assert scorer.score(*string_buffers(pa.array([text, "water"])))[0] > 0.5
+
+
+@pytest.mark.parametrize("text", ["c l a s s i c", "w a t e r!", "wa ter", "the more on with", "an id", "st one and gr een"])
+def test_clean_spaced_texts_are_left_alone(scorer, text):
+    assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
+
+
 def test_decode_is_viterbi(scorer):
     assert toxicity.decode("1d10t", scorer.model) == "idiot"
     assert toxicity.decode("s c u m", scorer.model) == "scum"

@@ -23,6 +23,19 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+_inverse_powers = np.ones(1, np.uint64)
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    """What the numbers of :func:`powers` are multiplied by to give 1."""
+    global _inverse_powers
+    if len(_inverse_powers) < n:
+        full = np.full(max(n, 2 * len(_inverse_powers)), np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64)), np.uint64)
+        full[0] = 1
+        _inverse_powers = np.cumprod(full, dtype=np.uint64)
+    return _inverse_powers[:n]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1

@@ -15,6 +15,7 @@ logistic regression over the picked words gives the score.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.bytewords import ALNUM, LOWER, NOT_BLANK, byte_classes, span_hashes, word_spans
+from webloom.llm.bytewords import _BYTE, _STEP, ALNUM, LOWER, NOT_BLANK, byte_classes, inverse_powers, mix, powers, span_hashes, word_spans
 from webloom.llm.common import crc_bucket, row_slices, string_buffers
 from webloom.llm.quality import sampled
 
@@ -95,10 +96,15 @@ def language_model(corpus: np.ndarray, words: list[str]) -> np.ndarray:
 
 #: Costs of the channel, as log probabilities.
 _AS_IS, _STAND, _SKIP, _KEEP_SIGN, _RUN, _BREAK = 0.0, -1.0, -0.7, -7.0, -0.4, -3.0
+#: Costs of a blank between pieces that are not all single letters: there a blank is what it looks like, most often.
+_WORD_BLANK = (-6.0, 0.0)
 
 
-def decode(token: str, model: np.ndarray, beam: int = 24) -> str:
-    """The likeliest words behind ``token``, blank-separated: Viterbi over its lattice, on pairs of symbols."""
+def decode(token: str, model: np.ndarray, beam: int = 24, blank: tuple[float, float] = (_SKIP, _BREAK)) -> str:
+    """The likeliest words behind ``token``, blank-separated: Viterbi over its lattice, on pairs of symbols.
+
+    ``blank`` has the costs of a blank that was put in and of one that parts words.
+    """
     spans = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", token.lower(), re.S)]
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     table = model.tolist()
@@ -109,7 +115,8 @@ def decode(token: str, model: np.ndarray, beam: int = 24) -> str:
         else:
             arcs = [x for c in STANDS_FOR.get(char, "") for x in ((c, _STAND), *([(c * 2, _STAND)] if n > 1 else []))]
             if char in SEPARATORS:
-                arcs += [("", _SKIP), (" ", _BREAK)]
+                skip, part = blank if char == " " else (_SKIP, _BREAK)
+                arcs += [("", skip), (" ", part)]
             elif char.isalpha():
                 arcs.append((char, _KEEP_SIGN if arcs else _AS_IS))
             else:
@@ -137,6 +144,7 @@ def decode(token: str, model: np.ndarray, beam: int = 24) -> str:
 #: Lengths in bytes of the beginnings of words that can be picked like whole words, written ``stem*``.
 STEMS = (4, 5, 6)
 _LETTER = byte_classes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
+_ASCII_LETTER = byte_classes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
 _SIGNS = "@$!|+(<{["
 
 
@@ -185,11 +193,10 @@ def with_stems(word: str) -> list[str]:
     return [word, *(raw[:k].decode("utf-8", "replace") + "*" for k in STEMS if len(raw) > k)]
 
 
-def skeletons(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Skeleton bytes of all texts, where each byte came from, which came from letters or digits, and the row offsets.
+def _elements(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Skeleton bytes of a text before runs are squeezed, where each came from and from how many bytes.
 
-    Look-alikes become one letter, separators go, runs of one letter are squeezed;
-    blanks stay.
+    Look-alikes become one letter, separators go; blanks stay.
     """
     form = _SINGLE[data]
     n = len(data)
@@ -201,9 +208,69 @@ def skeletons(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     wide = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80)) if n > 2 else np.empty(0, np.int64)
     for k in range(3):  # dashes, quotes and characters without width
         form[wide + k] = 1
-    keep = form != 1
-    at = np.flatnonzero(keep)
-    form = form[at]
+    at = np.flatnonzero(form != 1)
+    return form[at], at, 1 + (pair[at] > 1)
+
+
+class _Spans:
+    """The skeleton of many texts without blanks, and where words can begin and end in it.
+
+    Elements are the characters that are left, groups are runs of equal elements.  A
+    *cut* is a place between two elements that something parts: a blank, a separator, a
+    mark or the end of a row.  Cuts part *fragments*, blanks part *pieces*.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        form, at, width = _elements(data)
+        solid = form != 0x20
+        blanks = np.cumsum(~solid)[solid]
+        self.at, form, width = at[solid], form[solid], width[solid]
+        self.stop = self.at + width
+        n = len(form)
+        self.row = np.searchsorted(offsets, self.at, "right") - 1
+        self.firm = ALNUM[data[self.at]]
+        new_row = np.ones(n, bool)
+        new_row[1:] = self.row[1:] != self.row[:-1]
+        new_piece = new_row.copy()
+        new_piece[1:] |= blanks[1:] != blanks[:-1]
+        cut = np.ones(n + 1, bool)
+        cut[1:-1] = new_piece[1:] | (self.at[1:] > self.stop[:-1]) | ~self.firm[1:] | ~self.firm[:-1]
+        self.cut = cut
+        self.piece = np.cumsum(new_piece) - 1
+        self.fragment = np.cumsum(cut[:-1]) - 1
+        self.letters = np.bincount(self.fragment, self.firm).astype(np.int64)  # of each fragment
+        size, letters = np.bincount(self.piece), np.bincount(self.piece, self.firm)
+        self.single = ((letters == 1) | (size == 1))[self.piece]  # in a piece of one letter, but for marks
+        head = new_row.copy()
+        head[1:] |= (form[1:] != form[:-1]) | (form[1:] >= 0x80)
+        self.group = np.flatnonzero(head)
+        self.edge = np.append(self.group, n)
+        self.begins = np.logical_or.reduceat(cut[:-1], self.group) if n else np.empty(0, bool)
+        self.ends = np.logical_or.reduceat(cut[1:], self.group) if n else np.empty(0, bool)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[form[self.group]] * powers(len(self.group)), dtype=np.uint64)])
+        self.data, self.odd = data, np.concatenate([[0], np.cumsum(~_ASCII_LETTER[data])])
+
+    def hashes(self, start: np.ndarray, size: int) -> np.ndarray:
+        """As ``span_hashes`` of the ``size`` groups from each of ``start``."""
+        return mix((self.sums[start + size] - self.sums[start]) * inverse_powers(len(self.group))[start] + np.uint64(size * int(_STEP) & (1 << 64) - 1))
+
+    def plain(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Whether the bytes from element ``first`` to ``last`` are ASCII letters only and the bytes around them no others."""
+        a, b = self.at[first], self.stop[last]
+        return (self.odd[b] == self.odd[a]) & ~self.wide_around(a, b)
+
+    def wide_around(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.data[np.maximum(a - 1, 0)] >= 0x80) | (self.data[np.minimum(b, len(self.data) - 1)] >= 0x80)
+
+
+def skeletons(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Skeleton bytes of all texts, where each byte came from, which came from letters or digits, and the row offsets.
+
+    Look-alikes become one letter, separators go, runs of one letter are squeezed;
+    blanks stay.
+    """
+    n = len(data)
+    form, at, _ = _elements(data)
     same = np.zeros(len(at), bool)
     same[1:] = (form[1:] == form[:-1]) & (form[1:] < 0x80) & (form[1:] != 0x20)
     same[np.searchsorted(at, offsets[(offsets > 0) & (offsets < n)]).clip(max=max(0, len(at) - 1))] = False
@@ -241,9 +308,16 @@ class Scorer:
                 keys = _hash_words([w.rstrip("*") for w in own])
                 order = np.argsort(keys)
                 self.plain[size] = keys[order], np.array([self.number[w] for w in own])[order]
-            for shape in {self._shape(w) for w in own}:
-                self.shapes.setdefault(0 if size == 0 else -len(shape), set()).add(shape)
+            for shape in {self._shape(w) for w in own} - {b""}:
+                self.shapes.setdefault((size > 0, len(shape)), set()).add(shape)
         self.shapes = {k: np.sort(np.unique(_hash_bytes(v))) for k, v in self.shapes.items()}
+        # letters at either end of a word that are one in its skeleton, at most
+        self.merged = max([1, *(sum(1 for _ in g) for w in words for g in self._edges(w.rstrip("*")))])
+
+    @staticmethod
+    def _edges(word: str) -> list[list[str]]:
+        groups = [list(g) for _, g in itertools.groupby(_skeleton_of(c) for c in word)]
+        return groups[:1] + groups[-1:]
 
     @staticmethod
     def _shape(word: str) -> bytes:
@@ -253,18 +327,17 @@ class Scorer:
     def numbers(self, words: list[str]) -> tuple[int, ...]:
         return tuple({self.number[f] for w in words for f in with_stems(w) if f in self.number})
 
-    def restored(self, piece: bytes, spaced: bool = False) -> tuple[int, ...]:
+    def restored(self, piece: bytes, blank: tuple[float, float] = (_SKIP, _BREAK)) -> tuple[int, ...]:
         """Numbers of the picked words behind a disguised piece of text."""
-        key = b" " + piece if spaced else piece
+        key = piece, blank
         got = self.memory.get(key)
         if got is None:
             text = piece.decode("utf-8", "replace").lower()
             got = ()
             for i in range(0, len(text), 64):  # long runs in parts that overlap
                 core = text[i : i + 96]
-                tries = dict.fromkeys((core, core.rstrip("!|+.,;:?()<>[]{}\"'*"), core.strip("!|+.,;:?()<>[]{}\"'*@$"))) if not spaced else [core]
-                for t in tries:
-                    got += self.numbers([x for w in decode(t, self.model).split() for x in [w]])
+                for t in dict.fromkeys((core, core.rstrip("!|+.,;:?()<>[]{}\"'*"), core.strip("!|+.,;:?()<>[]{}\"'*@$"))):
+                    got += self.numbers(decode(t, self.model, blank=blank).split())
             got = tuple(set(got))
             if len(self.memory) > 200_000:
                 self.memory.clear()
@@ -291,47 +364,65 @@ class Scorer:
         return got[:, 0], got[:, 1]
 
     def _disguised(self, data: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int]]:
-        """Picked words that pieces hide; only pieces whose skeleton is that of a picked word are decoded."""
-        form, at, firm, row_at = skeletons(data, offsets)
-        starts, ends, first = word_spans(form, row_at, NOT_BLANK)
-        if not len(starts):
-            return set()
-        row = np.repeat(np.arange(len(row_at) - 1), np.diff(first))
-        solid = np.flatnonzero(firm)
-        if not len(solid):
-            return set()
-        inner = np.minimum(solid[np.searchsorted(solid, starts).clip(max=len(solid) - 1)], ends - 1)
-        inner_end = np.maximum(solid[(np.searchsorted(solid, ends) - 1).clip(min=0)] + 1, inner + 1)
-        maybe = np.zeros(len(starts), bool)
-        inner_end = np.clip(inner_end, inner + 1, np.maximum(ends, inner + 1))
-        tail = np.clip(inner_end, starts + 1, ends)
-        for a, b in ((starts, ends), (starts, tail), (inner, inner_end)):
-            for k, keys in self.shapes.items():
-                use = np.flatnonzero(b - a > -k) if k else np.arange(len(a))
-                h = span_hashes(form, a[use], a[use] - k if k else b[use])
-                maybe[use[_found(h, keys, np.zeros(len(keys), np.int64))[0]]] = True
+        """Picked words that the texts hide.
+
+        Decoded is every stretch from a cut to a cut (from a cut on, for stems) whose
+        skeleton is that of a picked word, blanks or not in between.
+        """
+        spans = _Spans(data, offsets)
+        m = len(spans.group)
         raw = data.tobytes()
+        group_row = spans.row[spans.group]
+        begins = np.flatnonzero(spans.begins)
         out: set[tuple[int, int]] = set()
-        blank = np.flatnonzero(~NOT_BLANK[data])
-
-        def piece(i: int) -> bytes:
-            """The text that piece i was made from, with the separators around it."""
-            lo, hi = int(at[starts[i]]), int(at[ends[i] - 1])
-            j = np.searchsorted(blank, hi)
-            return raw[lo : int(blank[j]) if j < len(blank) and blank[j] < offsets[row[i] + 1] else int(offsets[row[i] + 1])]
-
-        for i in np.flatnonzero(maybe).tolist():
-            out |= {(int(row[i]), x) for x in self.restored(piece(i))}
-        single = ends - starts == 1
-        turn = np.ones(len(single) + 1, bool)
-        turn[1:-1] = (single[1:] != single[:-1]) | (row[1:] != row[:-1])
-        edges = np.flatnonzero(turn)
-        runs = np.flatnonzero(single[edges[:-1]] & (np.diff(edges) >= 3))
-        for a, b in zip(edges[runs].tolist(), edges[runs + 1].tolist(), strict=True):
-            text = b" ".join(raw[int(at[starts[k]]) : int(at[starts[k]]) + (1 if raw[int(at[starts[k]])] < 0x80 else 2)] for k in range(a, b))
-            out |= {(int(row[a]), x) for x in self.restored(text, spaced=True)}
+        for (stem, size), keys in self.shapes.items():
+            s = begins[begins + size + stem <= m]
+            s = s[group_row[s] == group_row[s + size + stem - 1]]
+            s = s if stem else s[spans.ends[s + size - 1]]
+            s = s[_found(spans.hashes(s, size), keys, np.zeros(len(keys), np.int64))[0]]
+            first, last = spans.group[s], spans.edge[s + size] - 1
+            known = spans.plain(first, last) & (spans.cut[first] & (spans.cut[last + 1] if not stem else _ASCII_LETTER[data[np.minimum(spans.stop[last], len(data) - 1)]]))
+            known &= last - first == size - 1
+            for i in s[~known].tolist():
+                row = int(group_row[i])
+                for text, blank in self._readings(spans, raw, i, i + size, stem):
+                    out.update((row, x) for x in self.restored(text, blank))
         return out
 
+    def _readings(self, spans: _Spans, raw: bytes, i: int, j: int, stem: bool) -> Iterator[tuple[bytes, tuple[float, float]]]:
+        """Texts to decode, with the costs of blanks, for the word or stem in groups ``i`` to ``j - 1``."""
+        cut, piece, fragment = spans.cut, spans.piece, spans.fragment
+        lows = [k for k in range(int(spans.edge[i + 1]) - 1, int(spans.edge[i]) - 1, -1) if cut[k]][: self.merged]
+        highs = [k for k in range(int(spans.edge[j - 1]), int(spans.edge[j])) if cut[k + 1]][: self.merged] if not stem else [int(spans.edge[j])]
+        n = len(spans.at)
+        for low in lows:
+            for high in highs:
+                if high < low:
+                    continue
+                if stem and piece[high] != piece[high - 1] and not (spans.single[high] and spans.single[high - 1]):
+                    continue  # the word ends where the stem does
+                a, b = low, high
+                if stem:  # the rest of the word
+                    while b + 1 < n and b < high + 32 and piece[b + 1] == piece[high]:
+                        b += 1
+                if fragment[low] != fragment[high]:
+                    # one letter next to it, parted like the letters in it, belongs to what is read
+                    while a > 0 and low - a < 32 and self._beside(spans, a - 1, a):
+                        a -= 1
+                    while b + 1 < n and b - high < 32 and self._beside(spans, b + 1, b):
+                        b += 1
+                spaced = piece[a] != piece[b]
+                loose = spaced and not (b - a >= 2 and spans.single[a : b + 1].all())
+                text = raw[int(spans.at[a]) : int(spans.stop[b])]
+                yield b" ".join(text.split()) if spaced else text, _WORD_BLANK if loose else (_SKIP, _BREAK)
+
+    @staticmethod
+    def _beside(spans: _Spans, k: int, by: int) -> bool:
+        """Whether element ``k`` is a fragment of one letter and neither a mark nor in another piece than ``by``, but for pieces of one letter."""
+        if spans.row[k] != spans.row[by] or not spans.firm[k] or spans.letters[spans.fragment[k]] != 1:
+            return False
+        return spans.piece[k] == spans.piece[by] or bool(spans.single[k] and spans.single[by])
+
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         total = np.full(len(offsets) - 1, self.bias)
         row, word = self.features(data, offsets)
