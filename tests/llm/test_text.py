@@ -254,6 +254,23 @@ def test_clean_spaced_texts_are_left_alone(scorer, text):
     assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
 
 
+@pytest.mark.parametrize("text", ["x,1d10t", "you/m0r0n", "1d10t?yes", "no-m0r0n-yes", "there.$cum", "1d10t)m", "id?iot", "«1d10t»", "idi0t…no", "hi.1diot", "there,1d10t,water"])
+def test_glued_disguised_words_are_found(scorer, text):
+    assert scorer.score(*string_buffers(pa.array([text, "water"])))[0] > 0.5
+
+
+@pytest.mark.parametrize("text", ["c.l.a.s.s.i.c", "x,w4ter", "st0ne?yes", "id,10", "10,20;30", "water…gr33n"])
+def test_clean_glued_texts_are_left_alone(scorer, text):
+    assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
+
+
+def test_every_mark_the_lattice_drops_is_dropped_from_the_skeleton(scorer):
+    for char in "?)\"#%&=^>}]€«»…¿•→★、。🙂":
+        hidden = f"mor{char}n" if char == "€" else f"id{char}iot"
+        form = toxicity.skeletons(*string_buffers(pa.array([hidden])))[0].tobytes()
+        assert form == (b"moren" if char == "€" else b"idiot"), char
+
+
 def test_decode_is_viterbi(scorer):
     assert toxicity.decode("1d10t", scorer.model) == "idiot"
     assert toxicity.decode("s c u m", scorer.model) == "scum"

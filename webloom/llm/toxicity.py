@@ -161,13 +161,17 @@ def _pair_table() -> np.ndarray:
         raw = char.encode()
         if len(raw) == 2:
             out[raw[0] << 8 | raw[1]] = ord(_skeleton_of(char.lower())) if char not in SEPARATORS else 1
+    for code in range(0x80, 0x800):
+        raw = chr(code).encode()
+        if not out[raw[0] << 8 | raw[1]] and not chr(code).isalpha():
+            out[raw[0] << 8 | raw[1]] = 1
     return out
 
 
 _PAIR = _pair_table()
-_SINGLE = np.array(
-    [0x20 if not NOT_BLANK[b] else 1 if b < 0x80 and chr(b) in SEPARATORS else ord(_skeleton_of(chr(LOWER[b]))) if b < 0x80 else b for b in range(256)], np.uint8
-)
+#: Marks that stand for no letter go like separators: the lattice can drop them or part words there.
+_GONE = {chr(b) for b in range(0x80) if NOT_BLANK[b] and not ALNUM[b] and chr(b) not in STANDS_FOR} | set(SEPARATORS)
+_SINGLE = np.array([0x20 if not NOT_BLANK[b] else 1 if b < 0x80 and chr(b) in _GONE else ord(_skeleton_of(chr(LOWER[b]))) if b < 0x80 else b for b in range(256)], np.uint8)
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -205,11 +209,20 @@ def _elements(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pair[:-1] = _PAIR[data[:-1].astype(np.int64) << 8 | data[1:]] * (data[:-1] >= 0xC2)
     two = np.flatnonzero(pair)
     form[two], form[np.minimum(two + 1, n - 1)] = pair[two], 1
-    wide = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80)) if n > 2 else np.empty(0, np.int64)
-    for k in range(3):  # dashes, quotes and characters without width
+    width = 1 + (pair > 1)
+    lead = np.flatnonzero(data >= 0xE2)
+    lead = lead[lead < n - 2]
+    # marks of three bytes: dashes, quotes, characters without width, symbols, CJK punctuation
+    wide = lead[((data[lead] == 0xE2) & (data[lead + 1] < 0xB0)) | ((data[lead] == 0xE3) & (data[lead + 1] == 0x80))]
+    for k in range(3):
         form[wide + k] = 1
+    euro = wide[(data[wide] == 0xE2) & (data[wide + 1] == 0x82) & (data[wide + 2] == 0xAC)]
+    form[euro], width[euro] = ord("e"), 3
+    pictures = lead[(data[lead] == 0xF0) & (data[lead + 1] == 0x9F)]
+    for k in range(4):
+        form[np.minimum(pictures + k, n - 1)] = 1
     at = np.flatnonzero(form != 1)
-    return form[at], at, 1 + (pair[at] > 1)
+    return form[at], at, width[at]
 
 
 class _Spans:
