@@ -264,6 +264,16 @@ def test_clean_glued_texts_are_left_alone(scorer, text):
     assert scorer.score(*string_buffers(pa.array([text], pa.string())))[0] < 0.5
 
 
+def test_a_telling_word_is_found_in_a_large_vocabulary(spark):
+    from pyspark.sql import functions as F
+
+    shared = " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}vwxyz" for k in range(8000))
+    rows = [(i, shared) for i in range(20)] + [(20 + i, shared + (" scum" if i < 10 else "")) for i in range(20)] + [(100 + i, shared) for i in range(20)]
+    labels = [(i, int(20 <= i < 30)) for i, _ in rows]
+    got = toxicity.train(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    assert got.words == ["scum"]
+
+
 def test_every_mark_the_lattice_drops_is_dropped_from_the_skeleton(scorer):
     for char in "?)\"#%&=^>}]€«»…¿•→★、。🙂":
         hidden = f"mor{char}n" if char == "€" else f"id{char}iot"

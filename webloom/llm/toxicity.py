@@ -18,6 +18,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.bytewords import _BYTE, _STEP, ALNUM, LOWER, NOT_BLANK, byte_classes, inverse_powers, mix, powers, span_hashes, word_spans
-from webloom.llm.common import crc_bucket, row_slices, string_buffers
+from webloom.llm.common import crc_bucket, row_slices, string_buffers, written
 from webloom.llm.quality import sampled
 
 #: Labelled rows that words are picked from, at most.
 SAMPLE_ROWS = 20_000
 #: Words that are picked, at most.
 MOST_WORDS = 300
-#: Words of labelled toxic documents that are looked at, at most; the most frequent ones.
-MOST_CANDIDATES = 20_000
+#: A word must be so many times as frequent among toxic documents as among others.
+TIMES = 4.0
+#: Counts of words that a task holds before it passes them on.
+HELD_COUNTS = 200_000
 #: Weight of the learnt words in the language model, as a share.
 WORDS_SHARE = 0.5
 
@@ -451,7 +454,12 @@ def _hash_bytes(words: set[bytes]) -> np.ndarray:
     return span_hashes(np.frombuffer(b" ".join(raw) + b" ", np.uint8), ends - size, ends)
 
 
-def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarray, most: int = MOST_WORDS, times: float = 4.0, cover: int = 3) -> list[int]:
+def least_toxic(looked: int, n_bad: int, n_good: int) -> int:
+    """In how many toxic documents a word must be so that none of ``looked`` words would be in as many by chance."""
+    return max(3, math.ceil((math.log(max(2, looked)) + 1) / math.log((n_bad + n_good) / n_bad)))
+
+
+def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarray, most: int = MOST_WORDS, times: float = TIMES, cover: int = 3, looked: int | None = None, top: dict[str, int] | None = None) -> list[int]:
     """Numbers of the words that mark toxic documents, picked greedily.
 
     ``doc`` and ``word`` are pairs of a document and a word in it.  A word must be at
@@ -459,6 +467,9 @@ def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarra
     more toxic documents that fewer than ``cover`` earlier words explain than any of
     as many words would by chance.  A stem is left out if a single word accounts
     for most of it, or if it is not far more frequent among toxic documents.
+    ``looked`` is the number of words that ``names`` were chosen from, and ``top`` says of
+    each stem in how many toxic documents its most frequent word is; by default both
+    are taken from ``names``.
     """
     bad, good = y > 0, y <= 0
     n_bad, n_good = int(bad.sum()), int(good.sum())
@@ -466,12 +477,11 @@ def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarra
         return []
     in_bad = np.bincount(word[bad[doc]], minlength=len(names))
     in_good = np.bincount(word[good[doc]], minlength=len(names))
-    chance = math.log(max(2, len(names))) + 1
-    least = max(3, math.ceil(chance / math.log((n_bad + n_good) / n_bad)))
+    least = least_toxic(looked or len(names), n_bad, n_good)
     able = (in_bad >= least) & (in_bad / n_bad >= times * (in_good + 0.5) / n_good)
-    top: dict[str, int] = {}
+    of_stems, top = top is None, top or {}
     for i, w in enumerate(names):
-        if not w.endswith("*"):
+        if of_stems and not w.endswith("*"):
             for stem in with_stems(w)[1:]:
                 top[stem] = max(top.get(stem, 0), int(in_bad[i]))
     for i in np.flatnonzero(able).tolist():
@@ -536,15 +546,39 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     known = labels.select(F.col(id_col), F.col(label_col).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1) & learn)
     known = sampled(known, id_col, sample_rows)  # bounded, so that it can be broadcast
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[Counter, Counter] = Counter(), Counter()  # by label
+
+        def passed() -> pa.RecordBatch:
+            names = list(held[0] | held[1])
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([held[y][w] for w in names], pa.int64()) for y in (1, 0))], ["w", "bad", "good"])
+            for h in held:
+                h.clear()
+            return out
+
         for batch in batches:
-            lists = [sorted({f for w in set(plain_words(t or "")) for f in with_stems(w)}) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.string()))], ["y", "words"])
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held[y].update({f for w in set(plain_words(t or "")) for f in with_stems(w)})
+                if len(held[0]) + len(held[1]) > HELD_COUNTS:
+                    yield passed()
+        yield passed()
 
     rows = docs.select(id_col, text_col).join(F.broadcast(known), id_col).select("_y", text_col)
-    # a word of fewer than three toxic documents is never picked: only the others are counted further
-    toxic = rows.filter("_y = 1").mapInArrow(words, "y int, words array<string>").select(F.explode("words").alias("w"))
-    often = [r[0] for r in toxic.groupBy("w").count().filter("count >= 3").orderBy(F.desc("count"), "w").limit(MOST_CANDIDATES).collect()]
+    amounts = {r[0]: r[1] for r in rows.groupBy("_y").count().collect()}
+    n_bad, n_good = amounts.get(1, 0), amounts.get(0, 0)
+    often: list[str] = []
+    looked, top = 0, {}
+    if n_bad and n_good:
+        # a word of fewer than three toxic documents is never picked
+        counted = rows.mapInArrow(count, "w string, bad long, good long").groupBy("w").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad >= 3")
+        counted = written(counted, "words")
+        looked = counted.count()
+        telling = counted.filter((F.col("bad") >= least_toxic(looked, n_bad, n_good)) & (F.col("bad") / n_bad >= TIMES * (F.col("good") + 0.5) / n_good)).select("w")
+        often = sorted(r[0] for r in telling.collect())
+        stems = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in often if w.endswith("*")], "stem string"))
+        parts = F.udf(lambda w: with_stems(w)[1:], "array<string>")
+        words = counted.filter(~F.col("w").endswith("*")).select("bad", F.explode(parts("w")).alias("stem"))
+        top = {r[0]: r[1] for r in words.join(stems, "stem").groupBy("stem").agg(F.max("bad")).collect()}
     shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(often)})
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -558,7 +592,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     lists = got["words"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     size = np.diff(np.asarray(lists.offsets)) if got.num_rows else np.zeros(0, np.int64)
     doc, word = np.repeat(np.arange(len(y)), size), np.asarray(lists.flatten()).astype(np.int64)
-    picked = pick_words(often, doc, word, y)
+    picked = pick_words(often, doc, word, y, looked=looked, top=top)
     column = np.full(len(often) + 1, -1)
     column[picked] = np.arange(len(picked))
     x = np.zeros((len(y), len(picked) + 1))
