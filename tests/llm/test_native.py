@@ -94,6 +94,38 @@ def test_a_group_larger_than_a_shard(spark):
     assert max(k for _, k in cut.values()) <= 5  # 200 of 75 a shard need three
 
 
+@pytest.mark.parametrize(("pairs", "singles"), [(1600, 0), (1520, 160)])
+def test_pairs_in_full_shards_are_exchanged(spark, pairs, singles):
+    rows = [(i, f"pair {i % pairs}") for i in range(2 * pairs)] + [(10_000 + i, f"single {i}") for i in range(singles)]
+    got = sharding.shard_documents(docs_of(spark, rows)).collect()
+    check_shards(rows, got, 8)
+    assert not cut_groups(got)
+
+
+def test_flows_exchange_rows_between_full_shards():
+    assert sharding.flows([[0, 5], [3, 0]], [10, 10], [10, 10]) == [[0, 3], [3, 0]]
+    assert sharding.flows([[0, 2, 0], [0, 0, 4], [3, 0, 0]], [9, 9, 9], [9, 9, 9]) == [[0, 2, 0], [0, 0, 2], [2, 0, 0]]
+    assert sharding.flows([[0, 5], [0, 0]], [12, 6], [9, 9]) == [[0, 3], [0, 0]]
+
+
+def test_groups_are_joined_in_cycles():
+    parts = {b"a": {0: 1, 1: 1}, b"b": {1: 1, 2: 1}, b"c": {0: 1, 2: 1}, b"d": {3: 2, 4: 1}}
+    moves = sharding.joined_groups(parts, [5] * 5, [5] * 5)
+    assert sorted({g for g, _, _ in moves}) == [b"a", b"b", b"c"]
+    assert all(sum(n for _, s, n in moves if s == shard) == 0 for shard in range(5))
+    assert not {g for g, _, _ in moves} - set(parts) and len(moves) == 6
+
+
+def test_cut_groups_are_packed_anew():
+    parts = {b"a": {0: 3, 1: 2}, b"b": {1: 3, 2: 2}, b"c": {0: 2, 2: 3}}
+    moves = sharding.joined_groups(parts, [5, 5, 5], [5, 5, 5])
+    rows = {g: dict(p) for g, p in parts.items()}
+    for g, s, n in moves:
+        rows[g][s] = rows[g].get(s, 0) + n
+    whole = [{s: n for s, n in p.items() if n} for p in rows.values()]
+    assert sorted(s for p in whole for s in p) == [0, 1, 2] and all(n == 5 for p in whole for n in p.values())
+
+
 @pytest.mark.parametrize("n", [1, 5, 8, 17])
 def test_few_rows(spark, n):
     rows = [(i, "same" if i % 2 else f"{i}") for i in range(n)]
