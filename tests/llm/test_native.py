@@ -58,6 +58,15 @@ def test_drop_keeps_one_row_of_each_text(spark):
     assert sorted(texts) == sorted({normal(t) for _, t in AWKWARD} - {"a b"} | {"a b"} | set()) or Counter(texts)["a b"] == 2
 
 
+def test_drop_keeps_exactly_one_row_of_each_text(spark):
+    rows = [*AWKWARD, (None, "only null"), (None, "only  null"), (20, "p"), (21, "p"), (21, "unlike")]
+    left = exact_dedup.drop_exact_copies(docs_of(spark, rows))
+    assert left.columns == docs_of(spark, []).columns
+    got = [(r.doc_id, normal(r.text)) for r in left.collect()]
+    assert sorted(t for _, t in got) == sorted({normal(t) for _, t in rows})
+    assert {(3, "a b"), (20, "p"), (21, "unlike"), (None, "only null")} <= set(got)
+
+
 def check_shards(rows, got, shards):
     assert len(got) == len(rows)
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)

@@ -129,6 +129,16 @@ def test_components_of_repeats_and_nothing(spark):
     assert sorted(got, key=str) == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (None, 1, None)], key=str)
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    long = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, long), (None, long + " end"), (2, long), (2, "quite another text of seven words"), (None, "q r s"), (None, "Q  r s"), (3, "x y"), (3, "X y"), (4, ""), (None, None)]
+    left = ngram_join.keep_one_of_each(docs_of(spark, rows))
+    assert left.columns == docs_of(spark, []).columns
+    got = sorted(((r.doc_id, (r.text or "").lower().split()) for r in left.collect()), key=str)
+    want = [(1, long.split()), (2, "quite another text of seven words".split()), (None, ["q", "r", "s"]), (3, ["x", "y"]), (4, []), (None, [])]
+    assert got == sorted(want, key=str)
+
+
 def test_connected_components(spark):
     random.seed(7)
     links = [(random.randrange(200), random.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 420)] + [(500, k) for k in range(501, 560)]

@@ -97,6 +97,19 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") ->
     return docs.join(ids, id_col, "left_anti")
 
 
+def names_rows(rows: DataFrame, id_col: str) -> bool:
+    """Whether every id is there and on one row alone."""
+    return rows.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty()
+
+
+def only_rows(docs: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of ``docs`` for each row of ``kept`` with the same keys; null equals null."""
+    names = {k: lacking(docs.columns, "kept", k) for k in keys}
+    wanted = kept.select(*[F.col(k).alias(names[k]) for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
+    return docs.join(wanted, same, "left_semi").dropDuplicates(keys)
+
+
 #: Called to free what a worker process keeps between tasks.
 WORKER_CACHES: list = []
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from webloom.llm.common import hash_bucket, written
+from webloom.llm.common import hash_bucket, lacking, names_rows, only_rows, without_ids, written
 
 #: White space that counts as one blank.
 SPACE_RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -91,21 +91,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns."""
-    from webloom.llm.common import without_ids
-
+    """One row of each text of ``docs``, the one that :func:`exact_dedup` keeps, with all its columns."""
     found = written(exact_dedup(docs, id_col, text_col), "copies")
-    again = found.filter(~F.col("kept") & F.col(id_col).eqNullSafe(F.col("keep_id")))
-    gone = found.filter(~F.col("kept") & ~F.col(id_col).eqNullSafe(F.col("keep_id")))
-    left = without_ids(docs, gone, id_col)
-    if not again.isEmpty():  # rows that repeat both id and text
-        left = _one_of_repeats(left, id_col, text_col)
-    return left
-
-
-def _one_of_repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    marked = docs.withColumn("_text_digest", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
-    return marked.dropDuplicates([id_col, "_text_digest"]).drop("_text_digest")
+    if names_rows(found, id_col):
+        return without_ids(docs, found.filter(~F.col("kept")), id_col)
+    # ids that are null or repeated: a row is named by its id and the digest of its text
+    mark = lacking(docs.columns, "digest")
+    marked = docs.withColumn(mark, F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
+    return only_rows(marked, found.filter("kept").select(id_col, F.col("text_sha256").alias(mark)), [id_col, mark]).drop(mark)
 
 
 ORACLE = r"""

@@ -24,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, mix, run_hashes, span_hashes, word_spans
-from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, row_slices, string_buffers, without_ids, written
+from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, lacking, names_rows, only_rows, row_slices, string_buffers, without_ids, written
 from webloom.llm.components import components
 
 #: A shingle of more documents than this is frequent and goes last in the order.
@@ -408,10 +409,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     has no other.  An empty table gives an empty result.
     """
     with arrow_rows(docs.sparkSession, BATCH_ROWS):  # all Python runs before this returns
-        return _components(docs, id_col, text_col, size, percent, turns)
+        return _components(docs, id_col, text_col, size, percent, turns).select(id_col, "n_shingles", "component_id")
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, turns: int) -> DataFrame:
+    """As :func:`ngram_components`, and the signature of each row's set and of its component's root."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = written(set_rows(docs, size).withColumn("salt", hash_bucket("id", 64)), "set-rows")
@@ -451,13 +453,13 @@ def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
             continue
         roots = components(links).select(F.col("node").alias("sig"), "root")
         _release(spark)
-    of_class = classes.select("sig", "low")
+    of_class = classes.select("sig", "low", F.col("sig").alias("root"))
     if roots is not None:
         joined = classes.join(roots, "sig", "left").select("sig", "low", F.coalesce("root", "sig").alias("root"))
         lowest = joined.groupBy("root").agg(F.min("low").alias("component"))
-        of_class = joined.join(lowest, "root").select("sig", F.col("component").alias("low"))
+        of_class = joined.join(lowest, "root").select("sig", F.col("component").alias("low"), "root")
     near = parts.select("sig", "salt").join(of_class, "sig")
-    return rows.join(near, ["sig", "salt"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")).alias("component_id"))
+    return rows.join(near, ["sig", "salt"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")).alias("component_id"), "sig", "root")
 
 
 def _release(spark) -> None:
@@ -468,7 +470,32 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def with_signature(docs: DataFrame, text_col: str, n_name: str, sig_name: str, size: int = 5) -> DataFrame:
+    """``docs`` with the number of shingles and the signature of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker_caches()
+        for batch in batches:
+            data, offsets = string_buffers(batch.column(batch.schema.get_field_index(text_col)))
+            for i, j in row_slices(offsets):
+                sets, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
+                own = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.diff(at), pa.int64()), _signed(signatures(sets, at))], [*own.schema.names, n_name, sig_name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(n_name, LongType()), StructField(sig_name, LongType())]))
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its component, with all their columns."""
-    found = written(ngram_components(docs, id_col, text_col), "components")
-    return without_ids(docs, found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))), id_col)
+    """One row of each component of ``docs``, that with the smallest id, with all its columns; rows without words all stay."""
+    spark = docs.sparkSession
+    with arrow_rows(spark, BATCH_ROWS):
+        found = written(_components(docs, id_col, text_col, 5, 75, 2), "components")
+        if names_rows(found, id_col):
+            return without_ids(docs, found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))), id_col)
+        # ids that are null or repeated: a row is named by its id and the signature of its set
+        n, sig = lacking(docs.columns, "n"), lacking(docs.columns, "sig")
+        low = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("sig").alias("sig"))
+        best = found.filter("n_shingles > 0").groupBy("root").agg(F.min(low).alias("low"))
+        marked = written(with_signature(docs, text_col, n, sig), "signed")
+    kept = only_rows(marked.filter(F.col(n) > 0), best.select(F.col("low.id").alias(id_col), F.col("low.sig").alias(sig)), [id_col, sig])
+    return kept.unionByName(marked.filter(F.col(n) == 0)).drop(n, sig)
