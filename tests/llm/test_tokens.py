@@ -160,3 +160,17 @@ def test_archive_of_nothing(spark):
     archive = warc.write_archive(pages_of(spark, []))
     assert warc.read_back(archive).count() == 0
     assert warc.lookup(archive, pages_of(spark, [(1, "http://a", "")])).count() == 0
+
+
+def test_histogram_answers_any_limit(spark):
+    docs = spark.createDataFrame([(i, "word " * (7 * i)) for i in range(9)], "doc_id long, text string")
+    sizes = [r.n_tokens for r in token_counts.document_lengths(docs).collect()]
+    limits = [0, 1, 10, max(sizes), max(sizes) + 1, 4096]
+    got = token_counts.at_limits(token_counts.length_histogram(docs), limits).collect()
+    assert sorted(r.n_tokens for r in got) == sorted(set(limits))
+    for r in got:
+        own = [x for x in sizes if x >= r.n_tokens]
+        assert (r.docs_from, r.tokens_from, r.truncated_tokens) == (len(own), sum(own), sum(min(x, r.n_tokens) for x in sizes))
+        assert abs(r.quantile - sum(x <= r.n_tokens for x in sizes) / len(sizes)) < 1e-12
+    none = token_counts.at_limits(token_counts.length_histogram(docs.limit(0)), [5]).collect()
+    assert [tuple(r) for r in none] == [(5, 0, 0, 0, None)]

@@ -69,3 +69,29 @@ def length_histogram(docs: DataFrame, text_col: str = "text", tokenizer: str = "
         (F.col("tokens") - F.col("tokens_from") + F.col("n_tokens") * F.col("docs_from")).alias("truncated_tokens"),
         (docs_upto / F.col("docs")).alias("quantile"),
     )
+
+
+def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """What :func:`length_histogram` answers, for any context limits: one row for each distinct one.
+
+    n_tokens (the limit), docs_from and tokens_from (documents of at least so many
+    tokens), truncated_tokens (the total if each document keeps at most that many)
+    and quantile (share of documents of at most that many).  The sums are those of the next
+    length from the limit on.  For an empty histogram all but quantile, which is null, are 0.
+    """
+    spark = histogram.sparkSession
+    asked = F.broadcast(spark.createDataFrame([(int(x),) for x in sorted(set(limits))], "limit long"))
+    least, most = F.col("n_tokens") >= F.col("limit"), F.col("n_tokens") <= F.col("limit")
+    size = F.col("n_docs")
+    sums = asked.join(histogram.select("n_tokens", "docs_from", "tokens_from", "docs_upto", "n_docs"), how="left")
+    nothing = F.struct(F.lit(0).cast("long").alias("docs"), F.lit(0).cast("long").alias("tokens"))
+    got = sums.groupBy("limit").agg(
+        F.coalesce(F.min_by(F.struct(F.col("docs_from").cast("long").alias("docs"), F.col("tokens_from").cast("long").alias("tokens")), F.when(least, F.col("n_tokens"))), nothing).alias("from"),
+        F.coalesce(F.sum(F.when(~least, F.col("n_tokens") * size)), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(most, size)), F.lit(0)).alias("upto"),
+        F.sum(size).alias("docs"),
+    )
+    return got.select(
+        F.col("limit").alias("n_tokens"), F.col("from.docs").alias("docs_from"), F.col("from.tokens").alias("tokens_from"),
+        (F.col("below") + F.col("limit") * F.col("from.docs")).alias("truncated_tokens"), (F.col("upto") / F.col("docs")).alias("quantile"),
+    )
