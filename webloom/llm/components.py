@@ -2,35 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import checkpointed
+from webloom.llm.common import written
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def _place(node: str, turn: int) -> Column:
+    """The place of a node in the random order of one round."""
+    return F.struct(F.xxhash64(node, F.lit(turn)).alias("h"), F.col(node).alias("v"))
+
+
+def components(links: DataFrame) -> DataFrame:
     """The root (some node, the same for all of a component) of each node of ``links`` (a, b).
 
-    In each round every root takes the smallest root beside it, and that one's choice,
-    and the links between what is left are drawn anew; links inside a component
-    vanish, and at least half of the roots that have links do in each round.
+    Links of a node to itself and repeated ones do no harm, those with a null are
+    passed over, and no links give no rows.  In each round all roots are ordered anew
+    by a hash, every root points to the first among itself and the roots beside it,
+    and pointers are followed to their end by doubling.  Left are the roots that
+    come before all beside them.  A root with links is one with a chance of at most
+    one half, whatever the labels, so the number of rounds grows with the logarithm of
+    the number of nodes, and there is no bound on it.
     """
-    edges = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
-    edges = checkpointed(edges)
-    roots = checkpointed(edges.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")))
-    for _ in range(most_rounds):
-        if edges.isEmpty():
-            return roots
-        near = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("to"))
-        then = near.select(F.col("a").alias("to"), F.col("to").alias("further"))
-        jump = checkpointed(near.join(then, "to", "left").select("a", F.coalesce("further", "to").alias("to")))
-        edges = checkpointed(
+    both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
+    edges = written(both, "edges")
+    roots = written(edges.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")), "roots")
+    turn = 0
+    while not edges.isEmpty():
+        near = edges.groupBy("a").agg(F.min(_place("b", turn)).alias("first")).select("a", F.least("first", _place("a", turn))["v"].alias("to"))
+        jump = _followed(near)
+        while not jump.filter("moved").isEmpty():
+            jump = _followed(jump)
+        jump = jump.select("a", "to")
+        roots = written(roots.join(jump.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
+        edges = written(
             edges.join(jump, "a")
             .select(F.col("to").alias("x"), F.col("b").alias("a"))
             .join(jump, "a")
             .select(F.col("x").alias("a"), F.col("to").alias("b"))
             .filter("a <> b")
-            .distinct()
+            .distinct(),
+            "edges",
         )
-        roots = checkpointed(roots.join(jump.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
-    raise RuntimeError("the components did not settle")
+        turn += 1
+    return roots
+
+
+def _followed(hops: DataFrame) -> DataFrame:
+    """Pointers (a, to) one jump further, and whether that moved them."""
+    then = hops.select(F.col("a").alias("to"), F.col("to").alias("further"))
+    return written(hops.select("a", "to").join(then, "to").select("a", F.col("further").alias("to"), (F.col("to") != F.col("further")).alias("moved")), "hops")
