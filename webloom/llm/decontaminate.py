@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import row_slices, string_buffers
+from webloom.llm.common import lean, row_slices, string_buffers
 
 _TABLE_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -194,7 +194,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 )
 
     out = docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(
-        run, f"id {kind.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+        lean(run), f"id {kind.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
     )
     return out.withColumnRenamed("id", id_col)
 
@@ -212,7 +212,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             if clean:
                 yield batch.filter(pa.array(np.concatenate(clean)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 ORACLE = r"""

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.bytewords import LOWER, byte_classes
-from webloom.llm.common import crc_bucket, row_slices, string_buffers
+from webloom.llm.common import crc_bucket, lean, row_slices, string_buffers
 from webloom.llm.quality import sampled
 
 BITS = 16
@@ -102,7 +102,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
 
     counts = np.zeros((size + 1, max(1, len(languages))), np.float64)
     if languages:
-        got = rows.select(text_col, lang_col).mapInArrow(count, "k int, slot int, n long").groupBy("k", "slot").agg(F.sum("n").alias("n")).toPandas()
+        got = rows.select(text_col, lang_col).mapInArrow(lean(count), "k int, slot int, n long").groupBy("k", "slot").agg(F.sum("n").alias("n")).toPandas()
         counts[got["slot"], got["k"]] = got["n"]
     matrix = np.log((counts + 0.1) / (counts.sum(0) + 0.1 * size))
     matrix[size] = 0
@@ -128,7 +128,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(names[best], pa.string()), pa.array(np.where(sure, score, 0.0))], ["id", "lang_pred", "score"])
 
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return docs.select(F.col(id_col).alias("id"), text_col, letter.alias("letter")).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), text_col, letter.alias("letter")).mapInArrow(lean(run), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

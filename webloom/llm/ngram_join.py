@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, mix, run_hashes, span_hashes, word_spans
-from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, lacking, names_rows, only_rows, row_slices, string_buffers, without_ids, written
+from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, lacking, lean, names_rows, only_rows, row_slices, string_buffers, without_ids, written
 from webloom.llm.components import components
 
 #: A shingle of more documents than this is frequent and goes last in the order.
@@ -36,7 +36,7 @@ FREQUENT = 16
 #: Frequent shingles that are told apart, at most; the others keep their place in the order, which costs time only.
 MOST_FREQUENT = 500_000
 #: Prefix entries for one block of columns.
-BLOCK_ENTRIES = 1_000_000
+BLOCK_ENTRIES = 300_000
 #: A column with more entries than this, of several components, is long and multiplied in blocks of rows.
 LONG_COLUMN = 128
 #: Rows of an Arrow batch; those of a join hold two whole sets each.
@@ -123,7 +123,7 @@ def set_rows(docs: DataFrame, size: int) -> DataFrame:
                 sets, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at), pa.int64()), _signed(signatures(sets, at))], ["id", "n", "sig"])
 
-    return docs.mapInArrow(run, f"id {kind}, n long, sig long")
+    return docs.mapInArrow(lean(run), f"id {kind}, n long, sig long")
 
 
 def _batch_prefixes(batch: pa.RecordBatch, size: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -174,7 +174,7 @@ def frequent_shingles(docs: DataFrame, size: int, percent: int, blocks: int) ->
         held = sums > FREQUENT
         return pa.table({"h": _signed(h[at][held]), "n": pa.array(sums[held], pa.int64())})
 
-    found = docs.select("text").mapInArrow(count, "block int, h binary, n binary").groupBy("block").applyInArrow(total, "h long, n long")
+    found = docs.select("text").mapInArrow(lean(count), "block int, h binary, n binary").groupBy("block").applyInArrow(total, "h long, n long")
     got = found.orderBy(F.desc("n"), "h").limit(MOST_FREQUENT).toArrow()
     h, n = np.asarray(got["h"].combine_chunks()).astype(np.int64).view(np.uint64), np.asarray(got["n"].combine_chunks()).astype(np.int64)
     order = np.argsort(h)
@@ -224,7 +224,7 @@ def shared_columns(docs: DataFrame, size: int, percent: int, blocks: int, freque
         kind = np.full(len(a), 1 if block >= 2 * blocks else 0, np.int32)
         return pa.table({"kind": pa.array(kind), "a": _signed(a), "b": _signed(b), "c": pa.array(c, pa.int64())})
 
-    met = docs.select("text").mapInArrow(send, "block int, a binary, b binary, c binary").groupBy("block").applyInArrow(meet, "kind int, a long, b long, c long")
+    met = docs.select("text").mapInArrow(lean(send), "block int, a binary, b binary, c binary").groupBy("block").applyInArrow(meet, "kind int, a long, b long, c long")
     met = written(met, "columns")
     entries = met.filter("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("sig"), F.col("c").cast("int").alias("place")).distinct()
     # hashes count as unsigned in the order
@@ -251,7 +251,7 @@ def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -
                 blobs = [sets[x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([_signed(signatures(sets, at)), pa.array(blobs, pa.binary())], ["sig", "items"])
 
-    return written(rows.mapInArrow(run, "sig long, items binary"), "sets").dropDuplicates(["sig"])
+    return written(rows.mapInArrow(lean(run), "sig long, items binary"), "sets").dropDuplicates(["sig"])
 
 
 def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -269,7 +269,7 @@ def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int
 
     one = pairs.join(held.select(F.col("sig").alias("a"), F.col("items").alias("x")), "a")
     both = one.join(held.select(F.col("sig").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(multiply, "a long, b long")
+    return both.mapInArrow(lean(multiply), "a long, b long")
 
 
 def block_product(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
@@ -482,7 +482,7 @@ def with_signature(docs: DataFrame, text_col: str, n_name: str, sig_name: str, s
                 own = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.diff(at), pa.int64()), _signed(signatures(sets, at))], [*own.schema.names, n_name, sig_name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(n_name, LongType()), StructField(sig_name, LongType())]))
+    return docs.mapInArrow(lean(run), StructType([*docs.schema.fields, StructField(n_name, LongType()), StructField(sig_name, LongType())]))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

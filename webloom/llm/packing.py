@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from webloom.llm.common import arrow_rows, row_slices, string_buffers, trim_memory, with_rank, written
+from webloom.llm.common import arrow_rows, lean, row_slices, string_buffers, trim_memory, with_rank, written
 from webloom.llm.tokens import END_ID, tokenizer_path, worker_tokenizer
 
 #: Width of a length class in tokens.
@@ -170,7 +170,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, li
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
-    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(lean(run), schema)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", limit: int = 4096, keep_ids: bool = False, buckets: int = 256) -> DataFrame:

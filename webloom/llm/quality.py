@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, byte_classes, span_hashes, word_spans
-from webloom.llm.common import crc_bucket, row_slices, string_buffers
+from webloom.llm.common import crc_bucket, lean, row_slices, string_buffers
 
 #: Labelled rows that the trees are fitted on, at most.
 SAMPLE_ROWS = 20_000
@@ -206,7 +206,7 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 stats = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(i, j - i) for k in range(len(rest))], stats], [*rest, "stats"])
 
-    return docs.select(*rest, text_col).mapInArrow(run, schema)
+    return docs.select(*rest, text_col).mapInArrow(lean(run), schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Trees:
@@ -242,7 +242,7 @@ def score_quality(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_co
             score = _scores(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
-    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(lean(run), f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
@@ -266,4 +266,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         for batch in batches:
             yield batch.filter(pa.array(_scores(trees.value, batch.column(at)) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from webloom.llm.common import row_slices, string_buffers, written
+from webloom.llm.common import lean, row_slices, string_buffers, written
 from webloom.llm.tokens import tokenizer_path, worker_tokenizer
 
 #: Lengths by block of this size are summed on their own before the sums of blocks are.
@@ -36,7 +36,7 @@ def document_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 n = known.counts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64())], ["id", "n_tokens"])
 
-    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(lean(run), f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
 
 
 def length_histogram(docs: DataFrame, text_col: str = "text", tokenizer: str = "word_bpe_49k.json") -> DataFrame:

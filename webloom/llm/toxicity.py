@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm.bytewords import _BYTE, _STEP, ALNUM, LOWER, NOT_BLANK, byte_classes, inverse_powers, mix, powers, span_hashes, word_spans
-from webloom.llm.common import crc_bucket, row_slices, string_buffers, written
+from webloom.llm.common import crc_bucket, lean, row_slices, string_buffers, written
 from webloom.llm.quality import sampled
 
 #: Labelled rows that words are picked from, at most.
@@ -535,7 +535,7 @@ def corpus_trigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(total[slot], pa.int64())], ["slot", "n"])
 
-    got = docs.select(text_col).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    got = docs.select(text_col).mapInArrow(lean(count), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(_SIZE**3, np.int64)
     out[got["slot"]] = got["n"]
     return out
@@ -570,7 +570,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     looked, top = 0, {}
     if n_bad and n_good:
         # a word of fewer than three toxic documents is never picked
-        counted = rows.mapInArrow(count, "w string, bad long, good long").groupBy("w").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad >= 3")
+        counted = rows.mapInArrow(lean(count), "w string, bad long, good long").groupBy("w").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad >= 3")
         counted = written(counted, "words")
         looked = counted.count()
         telling = counted.filter((F.col("bad") >= least_toxic(looked, n_bad, n_good)) & (F.col("bad") / n_bad >= TIMES * (F.col("good") + 0.5) / n_good)).select("w")
@@ -587,7 +587,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
             lists = [sorted({known[f] for w in set(plain_words(t or "")) for f in with_stems(w) if f in known}) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["y", "words"])
 
-    got = rows.mapInArrow(narrow, "y int, words array<int>").toArrow()
+    got = rows.mapInArrow(lean(narrow), "y int, words array<int>").toArrow()
     y = np.asarray(got["y"].combine_chunks()).astype(np.float64)
     lists = got["words"].combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     size = np.diff(np.asarray(lists.offsets)) if got.num_rows else np.zeros(0, np.int64)
@@ -623,5 +623,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             score = np.concatenate(parts) if parts else np.empty(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
-    out = docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
+    out = docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(lean(run), f"id {kind}, score double, predicted int").withColumnRenamed("id", id_col)
     return out.select(id_col, (F.coalesce(crc_bucket(id_col, 5), F.lit(1)) == 0).alias("held_out"), "score", "predicted")
