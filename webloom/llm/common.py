@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -56,6 +56,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_counted(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+    """As :func:`written`, and the number of rows, which is counted as they are written."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("n")), tag)
+    return out, int(seen.get["n"])
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` into the shared folder; for small tables of an iteration."""
     shared_dir(df.sparkSession)

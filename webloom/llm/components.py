@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import written
+from webloom.llm.common import written_counted
 
 
 def _place(node: str, turn: int) -> Column:
@@ -13,29 +13,32 @@ def _place(node: str, turn: int) -> Column:
     return F.struct(F.xxhash64(node, F.lit(turn)).alias("h"), F.col(node).alias("v"))
 
 
+def _followed(hops: DataFrame) -> DataFrame:
+    """Pointers (a, to), each followed by that of where it points to."""
+    return hops.join(hops.select(F.col("a").alias("to"), F.col("to").alias("further")), "to").select("a", F.col("further").alias("to"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """The root (some node, the same for all of a component) of each node of ``links`` (a, b).
 
     Links of a node to itself and repeated ones do no harm, those with a null are
-    passed over, and no links give no rows.  In each round all roots are ordered anew
-    by a hash, every root points to the first among itself and the roots beside it,
-    and pointers are followed to their end by doubling.  Left are the roots that
-    come before all beside them.  A root with links is one with a chance of at most
-    one half, whatever the labels, so the number of rounds grows with the logarithm of
-    the number of nodes, and there is no bound on it.
+    passed over, and no links give no rows.  In each round all nodes left are ordered
+    anew by a hash, every node points to the first among itself and those beside it,
+    and pointers are followed for four steps; what they end at is left, with the
+    links between.  A node with links stays if it comes before all beside it, which has
+    a chance of one half at most whatever the labels, or if it is the end of four
+    steps in falling order, one in 120.  So the number of rounds grows with the logarithm
+    of the number of nodes; there is no bound on it.  The pointers of all rounds
+    are followed in the end.
     """
     both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
-    edges = written(both, "edges")
-    roots = written(edges.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node")), "roots")
-    turn = 0
-    while not edges.isEmpty():
-        near = edges.groupBy("a").agg(F.min(_place("b", turn)).alias("first")).select("a", F.least("first", _place("a", turn))["v"].alias("to"))
-        jump = _followed(near)
-        while not jump.filter("moved").isEmpty():
-            jump = _followed(jump)
-        jump = jump.select("a", "to")
-        roots = written(roots.join(jump.withColumnRenamed("a", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
-        edges = written(
+    edges, left = written_counted(both, "edges")
+    jumps: list[DataFrame] = []
+    while left:
+        near = edges.groupBy("a").agg(F.min(_place("b", len(jumps))).alias("first")).select("a", F.least("first", _place("a", len(jumps)))["v"].alias("to"))
+        jump = written_counted(_followed(_followed(near)), "hops")[0]
+        jumps.append(jump)
+        edges, left = written_counted(
             edges.join(jump, "a")
             .select(F.col("to").alias("x"), F.col("b").alias("a"))
             .join(jump, "a")
@@ -44,11 +47,10 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
-        turn += 1
-    return roots
-
-
-def _followed(hops: DataFrame) -> DataFrame:
-    """Pointers (a, to) one jump further, and whether that moved them."""
-    then = hops.select(F.col("a").alias("to"), F.col("to").alias("further"))
-    return written(hops.select("a", "to").join(then, "to").select("a", F.col("further").alias("to"), (F.col("to") != F.col("further")).alias("moved")), "hops")
+    if not jumps:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = jumps.pop()
+    while jumps:  # from the last round, of the fewest nodes, to the first
+        roots = jumps.pop().join(roots.select(F.col("a").alias("to"), F.col("to").alias("root")), "to", "left").select("a", F.coalesce("root", "to").alias("to"))
+        roots = roots if len(jumps) % 4 else written_counted(roots, "roots")[0]
+    return roots.select(F.col("a").alias("node"), F.col("to").alias("root"))

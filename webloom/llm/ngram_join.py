@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, mix, run_hashes, span_hashes, word_spans
-from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, lacking, lean, names_rows, only_rows, row_slices, string_buffers, without_ids, written
+from webloom.llm.common import BROADCAST_IDS, arrow_rows, clear_worker_caches, hash_bucket, lacking, lean, names_rows, only_rows, row_slices, string_buffers, without_ids, written, written_counted
 from webloom.llm.components import components
 
 #: A shingle of more documents than this is frequent and goes last in the order.
@@ -238,9 +238,9 @@ def enough(both: Column, n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """The full set (sig, items as bytes) of each of ``sigs``, made anew from one document of the class."""
-    wanted = written(sigs.distinct().join(classes.select("sig", F.col("low").alias("wanted")), "sig").select("wanted"), "wanted")
-    known = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    """The full set (sig, items as bytes) of each of ``sigs``, made anew from one document of the class and written once."""
+    wanted, n = written_counted(sigs.distinct().join(classes.select("sig", F.col("low").alias("wanted")), "sig").select("wanted"), "wanted")
+    known = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
     rows = docs.join(known, docs["id"].eqNullSafe(known["wanted"]), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,9 +254,8 @@ def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -
     return written(rows.mapInArrow(lean(run), "sig long, items binary"), "sets").dropDuplicates(["sig"])
 
 
-def links_among(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b of signatures, each once) whose sets link: the full rows multiplied out."""
-    held = full_rows(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")), docs, classes, size)
+def links_among(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b of signatures, each once) whose sets link: the full rows ``held`` multiplied out."""
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,7 +309,7 @@ def _joining(linked: np.ndarray, left: list[int], right: list[int]) -> list[tupl
     return out
 
 
-def family_links(entries: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+def family_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that join all rows of ``entries``, those of long columns, which link.
 
     Columns that occur in one row together are of one family; its rows are dealt to
@@ -325,7 +324,6 @@ def family_links(entries: DataFrame, docs: DataFrame, classes: DataFrame, size:
     rows = least.join(families, "h0", "left").select("sig", "n", "root", F.coalesce("family", "h0").alias("family"), F.floor(F.log("n") / base).alias("level"))
     rows = written(rows, "family-rows")
     counts = rows.groupBy("family", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
-    sets = full_rows(rows.select("sig"), docs, classes, size)
     full = rows.join(counts, ["family", "level"]).join(sets, "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")))
     other = counts.select("family", F.col("level").alias("level2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part2"))
     met = full.join(other, "family").filter(F.abs(F.col("level") - F.col("level2")) <= 1)
@@ -431,6 +429,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
     entries = written(entries.join(lengths, "h").join(sizes.select("sig", "n"), "sig"), "entries")
     rows_of = entries.groupBy("sig").agg(F.collect_list("h").alias("held")).join(sizes, "sig").join(lasts, "sig")
     rows_of = written(rows_of, "prefix-rows")
+    sets = full_rows(rows_of.select("sig"), docs, classes, size)
     _release(spark)
     links, roots, tested = None, None, None
     for turn in range(turns + 1):
@@ -438,20 +437,20 @@ def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         if turn == turns:
             several = now.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")).filter("lo <> hi")
             now = written(now.join(several.select("h", "k"), "h"), "open-entries")
-            long = now.filter(F.col("k") > LONG_COLUMN)
-            if not long.isEmpty():
-                more = written(family_links(long, docs, classes, size, percent), "family-links")
+            long, n_long = written_counted(now.filter(F.col("k") > LONG_COLUMN), "long-columns")
+            if n_long:
+                more = written(family_links(long, sets, percent), "family-links")
                 links = more if links is None else links.unionByName(more)
         pairs = neighbour_pairs(now, turn, percent) if turn < turns else all_pairs(now.filter(F.col("k") <= LONG_COLUMN), percent)
         pairs = written(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        open_ = written(within_bound(pairs, rows_of, percent), "open")
-        if not open_.isEmpty():
-            found = written(links_among(open_, docs, classes, size, percent), "links")
+        open_, n_open = written_counted(within_bound(pairs, rows_of, percent), "open")
+        if n_open:
+            found = written(links_among(open_, sets, percent), "links")
             links = found if links is None else links.unionByName(found)
         if links is None:
             continue
-        roots = components(links).select(F.col("node").alias("sig"), "root")
+        roots = written(components(links).select(F.col("node").alias("sig"), "root"), "roots")
         _release(spark)
     of_class = classes.select("sig", "low", F.col("sig").alias("root"))
     if roots is not None:
