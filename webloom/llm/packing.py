@@ -1,8 +1,8 @@
 """Packing: documents into sequences of fixed length as a cutting-stock problem.
 
 Every document is encoded and cut into full sequences and a remainder.  The
-histogram of piece lengths, in classes of 16 tokens, is all that reaches the
-driver.  There a linear program over patterns (how many pieces of each class
+histogram of piece lengths, in classes that are exact for short pieces, is all that
+reaches the driver.  There a linear program over patterns (how many pieces of each class
 share a sequence) is solved by column generation: a dynamic program for the
 knapsack prices new patterns against the duals until none lowers the number of
 sequences.  Patterns are rounded down, the rest is packed best-fit, and the pieces
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -26,65 +26,115 @@ from pyspark.sql.window import Window
 from webloom.llm.common import arrow_rows, lean, row_slices, string_buffers, trim_memory, with_rank, written
 from webloom.llm.tokens import END_ID, tokenizer_path, worker_tokenizer
 
-#: Width of a length class in tokens.
+#: Steps of the length classes: (up to this many tokens, width of a class).
+CLASS_STEPS = ((64, 1), (128, 2), (256, 4), (512, 8))
+#: Width of the classes beyond.
 CLASS_WIDTH = 16
 #: Rows of an Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS = 1000
 
 
-def best_pattern(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The pattern of classes 1 to ``len(value)``, class c of size c, that has the largest value within ``capacity``."""
+def class_size(length: Column, limit: int) -> Column:
+    """The size of a piece's class: its length rounded up, by less than two per cent."""
+
+    def up(step: int) -> Column:
+        return (F.ceil(length / step) * step).cast("long")
+
+    size = F.when(length <= CLASS_STEPS[0][0], up(CLASS_STEPS[0][1]))
+    for upto, step in CLASS_STEPS[1:]:
+        size = size.when(length <= upto, up(step))
+    return F.least(size.otherwise(up(CLASS_WIDTH)), F.lit(limit)).cast("int")
+
+
+#: Patterns that one run of the dynamic program gives, at most.
+PRICED = 64
+
+
+def best_patterns(sizes: np.ndarray, worth: np.ndarray, capacity: int, most: int = PRICED) -> tuple[float, np.ndarray]:
+    """The largest worth of pieces of the ascending ``sizes`` within ``capacity``, and patterns of it or near it.
+
+    The dynamic program takes one size after the other.  With any number of pieces of
+    size c, a room r is best filled from some r - k * c: a running maximum along the
+    rooms that are r modulo c.  Patterns are the best one and, for the sizes that lose
+    least by it, the best with a piece of that size.
+    """
     best = np.zeros(capacity + 1)
-    pick = np.zeros(capacity + 1, np.int64)
-    sizes = np.flatnonzero(value > 1e-12) + 1
-    worth = value[sizes - 1]
-    for room in range(1, capacity + 1):
-        fit = np.searchsorted(sizes, room, "right")
-        best[room] = best[room - 1]
-        if fit:
-            got = worth[:fit] + best[room - sizes[:fit]]
-            k = int(np.argmax(got))
-            if got[k] > best[room] + 1e-15:
-                best[room], pick[room] = got[k], sizes[k]
-    pattern, room = np.zeros(len(value), np.int64), capacity
-    while room > 0:
-        if pick[room]:
-            pattern[pick[room] - 1] += 1
-            room -= int(pick[room])
-        else:
-            room -= 1
-    return float(best[capacity]), pattern
-
-
-def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3, most: int = 4000) -> list[tuple[np.ndarray, int]]:
-    """Patterns and how often each is used, to serve ``demand[c - 1]`` pieces of each size c exactly.
-
-    Column generation on the revised simplex method; stops when the bound on the
-    optimum is within ``gap``, or when 512 columns have gained less than that.  The
-    fractional rest is packed best-fit.
+    for c, w in zip(sizes.tolist(), worth.tolist(), strict=True):
+        if w <= 1e-12:
+            continue
+        steps = -(-(capacity + 1) // c)
+        table = np.full(steps * c, -np.inf)
+        table[: capacity + 1] = best
+        gain = np.arange(steps)[:, None] * w
+        best = (np.maximum.accumulate(table.reshape(steps, c) - gain, axis=0) + gain).ravel()[: capacity + 1]
+    best = np.maximum.accumulate(best)
+    found = worth + best[capacity - sizes]
+    patterns: dict[bytes, np.ndarray] = {}
+    for first in np.argsort(-found, kind="stable")[:most].tolist():
+        pattern, room = np.zeros(len(sizes), np.int64), capacity - int(sizes[first])
+        pattern[first] = 1
+        while room > 0 and best[room] > 1e-12:
+            fit = int(np.searchsorted(sizes, room, "right"))
+            rest = best[room - sizes[:fit]] + worth[:fit]
+            k = int(np.argmax(rest)) if fit else 0
+            if not fit or rest[k] < best[room] - 1e-9:
+                break
+            pattern[k] += 1
+            room -= int(sizes[k])
+        patterns[pattern.tobytes()] = pattern
+    return float(best[capacity]), np.array(list(patterns.values()))
+
+
+def largest_first(left: np.ndarray, sizes: np.ndarray, capacity: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Patterns and how often each is used to serve ``left`` pieces of each size, filled with the largest pieces first."""
+    left = left.astype(np.int64).copy()
+    while left.any():
+        column, room = np.zeros(len(sizes), np.int64), capacity
+        for i in range(len(sizes) - 1, -1, -1):
+            column[i] = min(int(left[i]), room // int(sizes[i]))
+            room -= int(column[i] * sizes[i])
+        held = column > 0
+        n = int((left[held] // column[held]).min())
+        yield column, n
+        left -= n * column
+
+
+def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple[list[tuple[np.ndarray, int]], float]:
+    """Patterns and how often each is used, to serve ``demand[c - 1]`` pieces of each size c exactly, and a bound.
+
+    Column generation on the revised simplex method.  Columns to choose from are first
+    those of :func:`largest_first`; when none of them lowers the number of sequences, the
+    knapsack gives new ones.  It stops when the bound on the optimum is within ``gap``, or
+    when 40 knapsacks have gained less than that.  The fractional rest is packed largest
+    first.  The bound is the best found in any step: no packing of these sizes has
+    fewer sequences.
     """
     classes = np.flatnonzero(demand) + 1
     if not len(classes):
-        return []
+        return [], 0.0
     need = demand[classes - 1].astype(np.float64)
     m = len(classes)
     columns = [np.eye(m)[i] * (capacity // c) for i, c in enumerate(classes)]
     inverse = np.diag([1.0 / (capacity // c) for c in classes])
     amount = inverse @ need
-    value = np.zeros(capacity)
-    before = np.inf
-    for step in range(most):
-        if step % 512 == 511:
-            if before - amount.sum() < gap * before:
+    pool = np.array([p for p, _ in largest_first(need, classes, capacity)], np.float64)
+    before, bound, steps, priced = np.inf, float(np.dot(need, classes)) / capacity, 0, 0
+    while True:
+        value = pool @ inverse.sum(axis=0)
+        enter = int(np.argmax(value))
+        if value[enter] <= 1 + 1e-7:
+            if priced % 40 == 39:
+                if before - amount.sum() < gap * before:
+                    break
+                before = amount.sum()
+            priced += 1
+            got, patterns = best_patterns(classes, inverse.sum(axis=0), capacity)
+            bound = max(bound, float(amount.sum()) / max(got, 1.0))
+            if amount.sum() <= bound * (1 + gap):
                 break
-            before = amount.sum()
-        dual = inverse.sum(axis=0)
-        value[:] = 0
-        value[classes - 1] = dual
-        got, pattern = best_pattern(value[: int(classes[-1])], capacity)
-        if got <= 1 + gap:
-            break
-        column = pattern[classes - 1].astype(np.float64)
+            pool = np.concatenate([pool[value > 0.9], patterns])  # those far from the duals go
+            continue
+        column = pool[enter]
         way = inverse @ column
         able = way > 1e-9
         ratio = np.full(m, np.inf)
@@ -96,7 +146,8 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3, most: in
         inverse -= np.outer(way, row)
         inverse[out] = row
         columns[out] = column
-        if step % 200 == 199:
+        steps += 1
+        if steps % 200 == 0:
             inverse = np.linalg.inv(np.array(columns).T)
             amount = inverse @ need
     left = demand[classes - 1].astype(np.int64).copy()
@@ -114,17 +165,9 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3, most: in
         if n > 0:
             use(column, n)
             left -= n * column
-    while left.any():  # at most about one sequence for each class is left
-        column, room = np.zeros(m, np.int64), capacity
-        for i in range(m - 1, -1, -1):
-            k = min(int(left[i] - column[i]), room // int(classes[i]))
-            column[i] += k
-            room -= k * int(classes[i])
-        held = column > 0
-        n = int((left[held] // column[held]).min())
+    for column, n in largest_first(left, classes, capacity):  # at most about one sequence for each class is left
         use(column, n)
-        left -= n * column
-    return plan
+    return plan, bound
 
 
 def places(plan: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -183,16 +226,15 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     An empty table gives an empty result.
     """
     pieces = token_pieces(docs, id_col, text_col, tokenizer, limit, keep_ids)
-    pieces = pieces.withColumn("cls", F.ceil(F.col("length") / CLASS_WIDTH).cast("int")).withColumn("b", F.pmod(F.xxhash64("id", "start"), F.lit(buckets)).cast("int"))
+    pieces = pieces.withColumn("cls", class_size(F.col("length"), limit)).withColumn("b", F.pmod(F.xxhash64("id", "start"), F.lit(buckets)).cast("int"))
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         pieces = written(pieces, "pieces")
-    capacity = limit // CLASS_WIDTH
-    demand = np.zeros(capacity, np.int64)
-    for r in pieces.groupBy("cls").count().collect():  # at most ``capacity`` rows
+    demand = np.zeros(limit, np.int64)
+    for r in pieces.groupBy("cls").count().collect():  # a row for each class, a few hundred
         demand[r[0] - 1] = r[1]
-    held = places(cutting_stock(demand, capacity))
+    held = places(cutting_stock(demand, limit)[0])
     schema = T.StructType([T.StructField(x, T.LongType()) for x in ("cls", "low", "high", "each", "first", "place")])
-    spans = docs.sparkSession.createDataFrame(held, schema)  # at most 2 * capacity patterns of at most capacity classes
+    spans = docs.sparkSession.createDataFrame(held, schema)  # at most about two patterns for each class, with a row for each class they hold
     ranked = with_rank(pieces, ["cls"], "b", ["id", "start", "ids_crc32"], "rank", small=True).withColumn("cls", F.col("cls").cast("long"))
     at = F.col("rank") - F.col("low")
     placed = ranked.join(F.broadcast(spans), (ranked["cls"] == spans["cls"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select(
