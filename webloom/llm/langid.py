@@ -2,7 +2,7 @@
 
 All runs of one to four bytes of lower-cased text, blanks squeezed, are hashed to
 a fixed number of slots.  Counts by language and slot give a matrix of log
-probabilities, whose size depends on the number of languages alone; it is
+probabilities for all languages of the sample; its size is bounded, and it is
 broadcast.  A batch of texts is scored as the product of its sparse row-by-slot
 counts with that matrix, in numpy: the rows of the matrix that a text's slots name
 are summed up.
@@ -24,13 +24,18 @@ from webloom.llm.quality import sampled
 BITS = 16
 #: Labelled rows that the counts are taken from, at most.
 SAMPLE_ROWS = 20_000
-#: Languages that are told apart, at most; the most frequent ones.
-MOST_LANGUAGES = 200
+#: Cells of the matrix, at most: with more than 256 languages there are fewer slots, so that it stays of this size.
+MATRIX_CELLS = 1 << 24
 ORDERS = (1, 2, 3, 4)
 _QUIET = ~byte_classes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
-def slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def slot_bits(languages: int) -> int:
+    """Bits of a slot, so that the matrix of all languages stays within :data:`MATRIX_CELLS`."""
+    return max(8, min(BITS, (MATRIX_CELLS // max(1, languages)).bit_length() - 1))
+
+
+def slots(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all n-grams of all rows, one row after the other, and the offsets of the rows in them.
 
     All but letters count as a blank, and blanks are squeezed; an n-gram doesn't
@@ -51,8 +56,8 @@ def slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for k in range(1, max(ORDERS) + 1):
         code = (code << np.uint64(8)) | padded[k - 1 : k - 1 + n]
         if k in ORDERS:
-            h = ((code + np.uint64(k << 56)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
-            out[:, ORDERS.index(k)] = np.where(left >= k, h.astype(np.int32), 1 << BITS)  # the last slot says nothing
+            h = ((code + np.uint64(k << 56)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+            out[:, ORDERS.index(k)] = np.where(left >= k, h.astype(np.int32), 1 << bits)  # the last slot says nothing
     return out.ravel(), at * len(ORDERS)
 
 
@@ -61,10 +66,11 @@ class Model:
 
     def __init__(self, languages: list[str], matrix: np.ndarray, prior: np.ndarray):
         self.languages, self.matrix, self.prior = languages, matrix, prior
+        self.bits = slot_bits(len(languages))
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best language's number and its probability for each row; ties go to the first."""
-        slot, at = slots(data, offsets)
+        slot, at = slots(data, offsets, self.bits)
         rows = len(offsets) - 1
         total = np.tile(self.prior, (rows, 1))
         held = np.flatnonzero(np.diff(at))
@@ -79,11 +85,11 @@ class Model:
 def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Count n-grams by language in a bounded sample of the rows for which ``learn`` holds."""
     rows = sampled(docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col, lang_col), id_col, sample_rows)
-    shares = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
-    shares = sorted((r[0], r[1]) for r in shares)
+    shares = sorted((r[0], r[1]) for r in rows.groupBy(lang_col).count().collect())  # of a bounded sample
     languages = [x for x, _ in shares]
     number = {x: i for i, x in enumerate(languages)}
-    size = 1 << BITS
+    bits = slot_bits(len(languages))
+    size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), size + 1), np.int64)
@@ -91,7 +97,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
             data, offsets = string_buffers(batch.column(0))
             names = batch.column(1).to_pylist()
             for i, j in row_slices(offsets):
-                slot, at = slots(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                slot, at = slots(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], bits)
                 lang = np.array([number.get(x, -1) for x in names[i:j]])
                 each = np.repeat(lang, np.diff(at))
                 for k in np.unique(lang[lang >= 0]):
