@@ -32,8 +32,6 @@ from webloom.llm.quality import sampled
 
 #: Labelled rows that words are picked from, at most.
 SAMPLE_ROWS = 20_000
-#: Words that are picked, at most.
-MOST_WORDS = 300
 #: A word must be so many times as frequent among toxic documents as among others.
 TIMES = 4.0
 #: Counts of words that a task holds before it passes them on.
@@ -103,13 +101,14 @@ _AS_IS, _STAND, _SKIP, _KEEP_SIGN, _RUN, _BREAK = 0.0, -1.0, -0.7, -7.0, -0.4, -
 _WORD_BLANK = (-6.0, 0.0)
 
 
-def decode(token: str, model: np.ndarray, beam: int = 24, blank: tuple[float, float] = (_SKIP, _BREAK)) -> str:
+def decode(token: str, model: np.ndarray, blank: tuple[float, float] = (_SKIP, _BREAK)) -> str:
     """The likeliest words behind ``token``, blank-separated: Viterbi over its lattice, on pairs of symbols.
 
     ``blank`` has the costs of a blank that was put in and of one that parts words.
     """
     spans = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", token.lower(), re.S)]
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # the best path to each pair of symbols: its score and its last step, which knows the one before
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     table = model.tolist()
     for char, n in spans:
         arcs: list[tuple[str, float]] = []
@@ -124,8 +123,8 @@ def decode(token: str, model: np.ndarray, beam: int = 24, blank: tuple[float, fl
                 arcs.append((char, _KEEP_SIGN if arcs else _AS_IS))
             else:
                 arcs += [(" ", _KEEP_SIGN if arcs else _BREAK), *([("", _KEEP_SIGN)] if not arcs else [])]
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in states.items():
             for out, cost in arcs:
                 x, y, s = a, b, score + cost
                 for c in out:
@@ -136,19 +135,20 @@ def decode(token: str, model: np.ndarray, beam: int = 24, blank: tuple[float, fl
                     x, y = (0, 0) if z == 0 else (y, z)
                 known = after.get((x, y))
                 if known is None or s > known[0]:
-                    after[(x, y)] = (s, text + out)
-        if len(after) > beam:
-            after = dict(sorted(after.items(), key=lambda kv: -kv[1][0])[:beam])
+                    after[(x, y)] = (s, (path, out))
         states = after or states
     best = max(states.items(), key=lambda kv: kv[1][0] + (table[kv[0][0]][kv[0][1]][0] if kv[0][1] else 0))
-    return best[1][1]
+    out, path = [], best[1][1]
+    while path is not None:
+        path, step = path
+        out.append(step)
+    return "".join(reversed(out))
 
 
 #: Lengths in bytes of the beginnings of words that can be picked like whole words, written ``stem*``.
 STEMS = (4, 5, 6)
 _LETTER = byte_classes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
 _ASCII_LETTER = byte_classes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)
-_SIGNS = "@$!|+(<{["
 
 
 def _skeleton_of(char: str) -> str:
@@ -195,9 +195,9 @@ def plain_words(text: str) -> list[str]:
 
 
 def with_stems(word: str) -> list[str]:
-    """A word and its beginnings."""
+    """A word and its beginnings, but those that would end inside a character."""
     raw = word.encode()
-    return [word, *(raw[:k].decode("utf-8", "replace") + "*" for k in STEMS if len(raw) > k)]
+    return [word, *(raw[:k].decode() + "*" for k in STEMS if len(raw) > k and raw[k] & 0xC0 != 0x80)]
 
 
 def _elements(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -350,10 +350,8 @@ class Scorer:
         if got is None:
             text = piece.decode("utf-8", "replace").lower()
             got = ()
-            for i in range(0, len(text), 64):  # long runs in parts that overlap
-                core = text[i : i + 96]
-                for t in dict.fromkeys((core, core.rstrip("!|+.,;:?()<>[]{}\"'*"), core.strip("!|+.,;:?()<>[]{}\"'*@$"))):
-                    got += self.numbers(decode(t, self.model, blank=blank).split())
+            for t in dict.fromkeys((text, text.rstrip("!|+.,;:?()<>[]{}\"'*"), text.strip("!|+.,;:?()<>[]{}\"'*@$"))):
+                got += self.numbers(decode(t, self.model, blank=blank).split())
             got = tuple(set(got))
             if len(self.memory) > 200_000:
                 self.memory.clear()
@@ -459,7 +457,7 @@ def least_toxic(looked: int, n_bad: int, n_good: int) -> int:
     return max(3, math.ceil((math.log(max(2, looked)) + 1) / math.log((n_bad + n_good) / n_bad)))
 
 
-def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarray, most: int = MOST_WORDS, times: float = TIMES, cover: int = 3, looked: int | None = None, top: dict[str, int] | None = None) -> list[int]:
+def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarray, most: int | None = None, times: float = TIMES, cover: int = 3, looked: int | None = None, top: dict[str, int] | None = None) -> list[int]:
     """Numbers of the words that mark toxic documents, picked greedily.
 
     ``doc`` and ``word`` are pairs of a document and a word in it.  A word must be at
@@ -495,7 +493,7 @@ def pick_words(names: list[str], doc: np.ndarray, word: np.ndarray, y: np.ndarra
     left = np.where(bad, cover, 0)
     worth = np.log((in_bad + 0.5) / n_bad) - np.log((in_good + 0.5) / n_good)
     picked: list[int] = []
-    while len(picked) < most:
+    while most is None or len(picked) < most:
         gain = np.bincount(w[left[d] > 0], minlength=len(names))
         value = np.where((gain >= least) & able, gain * worth, 0)
         best = int(np.argmax(value))
@@ -599,7 +597,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     held = column[word] >= 0
     x[doc[held], column[word[held]]] = 1
     x[:, -1] = x.any(1)
-    weights, bias = fit_weights(x, y)
+    order = np.lexsort((y, *x.T))  # the same weights whatever order the rows came in
+    weights, bias = fit_weights(x[order], y[order])
     names = [often[i] for i in picked]
     return Scorer(names, weights[:-1], float(weights[-1]), bias, language_model(corpus_trigrams(docs, text_col), [w.rstrip("*") for w in names]))
 
