@@ -48,8 +48,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Context limits that :func:`op9_token_counts` answers besides the lengths that occur.
+USUAL_LIMITS = [128 << k for k in range(11)]
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.length_histogram(table(spark, sf_dir, "documents"))
+    """Length histogram and its suffix sums; see ``length_histogram`` for nulls, empty texts and an empty table."""
+    return token_counts.length_histogram(table(spark, sf_dir, "documents"), limits=USUAL_LIMITS)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
