@@ -27,7 +27,7 @@ from webloom.llm.common import arrow_rows, lean, row_slices, string_buffers, tri
 from webloom.llm.tokens import END_ID, tokenizer_path, worker_tokenizer
 
 #: Steps of the length classes: (up to this many tokens, width of a class).
-CLASS_STEPS = ((64, 1), (128, 2), (256, 4), (512, 8))
+CLASS_STEPS = ((256, 1), (512, 4), (1024, 8))
 #: Width of the classes beyond.
 CLASS_WIDTH = 16
 #: Rows of an Arrow batch, so that a batch of long texts stays small.
@@ -99,13 +99,28 @@ def largest_first(left: np.ndarray, sizes: np.ndarray, capacity: int) -> Iterato
         left -= n * column
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by elimination with row pivots; the threads of LAPACK's own can hang in a process that has forked."""
+    n = len(matrix)
+    work = np.hstack([matrix.astype(np.float64), np.eye(n)])
+    for k in range(n):
+        p = k + int(np.argmax(np.abs(work[k:, k])))
+        work[[k, p]] = work[[p, k]]
+        work[k] /= work[k, k]
+        factor = work[:, k].copy()
+        factor[k] = 0
+        held = np.flatnonzero(factor)
+        work[held] -= factor[held, None] * work[k]
+    return work[:, n:]
+
+
 def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple[list[tuple[np.ndarray, int]], float]:
     """Patterns and how often each is used, to serve ``demand[c - 1]`` pieces of each size c exactly, and a bound.
 
     Column generation on the revised simplex method.  Columns to choose from are first
     those of :func:`largest_first`; when none of them lowers the number of sequences, the
-    knapsack gives new ones.  It stops when the bound on the optimum is within ``gap``, or
-    when 40 knapsacks have gained less than that.  The fractional rest is packed largest
+    knapsack gives new ones.  It stops when the bound on the optimum is within ``gap``,
+    when 40 knapsacks have gained less than that, or when five in a row gain nothing.  The fractional rest is packed largest
     first.  The bound is the best found in any step: no packing of these sizes has
     fewer sequences.
     """
@@ -116,30 +131,40 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple
     m = len(classes)
     columns = [np.eye(m)[i] * (capacity // c) for i, c in enumerate(classes)]
     inverse = np.diag([1.0 / (capacity // c) for c in classes])
-    amount = inverse @ need
+    shaken = need + 1e-5 * np.random.default_rng(0).random(m)  # without ties no pivot is for nothing, and none comes back
+    amount = inverse @ shaken
     pool = np.array([p for p, _ in largest_first(need, classes, capacity)], np.float64)
-    before, bound, steps, priced = np.inf, float(np.dot(need, classes)) / capacity, 0, 0
+    bound = float(np.dot(need, classes)) / capacity
+    before = at_pricing = least = np.inf  # numbers of sequences
+    steps = last = priced = idle = 0
     while True:
         value = pool @ inverse.sum(axis=0)
         enter = int(np.argmax(value))
-        if value[enter] <= 1 + 1e-7:
+        total = float(amount.sum())
+        if total < least * (1 - 1e-9):
+            least, last = total, steps
+        if value[enter] <= 1 + 1e-7 or steps - last > m:
             if priced % 40 == 39:
-                if before - amount.sum() < gap * before:
+                if before - least < gap * before:
                     break
-                before = amount.sum()
+                before = least
+            idle = idle + 1 if least > at_pricing * (1 - 1e-6) else 0
+            if idle == 5:
+                break
+            at_pricing, last = least, steps
             priced += 1
             got, patterns = best_patterns(classes, inverse.sum(axis=0), capacity)
-            bound = max(bound, float(amount.sum()) / max(got, 1.0))
+            bound = max(bound, float(inverse.sum(axis=0) @ need) / max(got, 1.0))
             if amount.sum() <= bound * (1 + gap):
                 break
             pool = np.concatenate([pool[value > 0.9], patterns])  # those far from the duals go
             continue
         column = pool[enter]
         way = inverse @ column
-        able = way > 1e-9
+        able = way > 1e-7
         ratio = np.full(m, np.inf)
         ratio[able] = np.maximum(amount[able], 0) / way[able]
-        out = int(np.argmin(ratio))
+        out = int(np.argmax(np.where(ratio <= ratio.min() * (1 + 1e-12), way, 0)))  # the largest pivot of the tied ones
         amount -= ratio[out] * way
         amount[out] = ratio[out]
         row = inverse[out] / way[out]
@@ -147,9 +172,10 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple
         inverse[out] = row
         columns[out] = column
         steps += 1
-        if steps % 200 == 0:
-            inverse = np.linalg.inv(np.array(columns).T)
-            amount = inverse @ need
+        if steps % 300 == 0:
+            inverse = _inverse(np.array(columns).T)
+            amount = inverse @ shaken
+    amount = _inverse(np.array(columns).T) @ need
     left = demand[classes - 1].astype(np.int64).copy()
     plan: list[tuple[np.ndarray, int]] = []
 
@@ -161,7 +187,7 @@ def cutting_stock(demand: np.ndarray, capacity: int, gap: float = 1e-3) -> tuple
     for column, x in zip(columns, amount, strict=True):
         column = column.astype(np.int64)
         held = column > 0
-        n = min(int(np.floor(x + 1e-7)), int((left[held] // column[held]).min()))
+        n = min(int(np.floor(x + 1e-6)), int((left[held] // column[held]).min()))
         if n > 0:
             use(column, n)
             left -= n * column
