@@ -3,18 +3,21 @@
 Pages are written as WARC records, a gzip member each, into archive files in the
 shared folder; a payload that another page holds too is written once and
 revisited by the others.  The captures are then sorted by reversed-host URL key
-(``com,example)/path``) and their lines compressed in blocks of a few thousand;
+(``com,example)/path``) and their lines compressed in blocks of a thousand;
 a sparse directory has one fixed-size entry for each block: its first key, and
-where the block is.  A capture is found by binary search in the directory file,
-which reads a handful of entries and never the whole, then by reading one block and
-one range of an archive.
+where the block is.  Each task of the sort writes its own stretch of the directory;
+the driver only lists these stretches.  A capture is found by binary search in the
+directory, which reads a handful of entries and never the whole, then by reading
+one block and one range of an archive.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import dataclasses
 import hashlib
+import itertools
 import json
 import os
 import re
@@ -26,6 +29,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +39,8 @@ from webloom.llm.common import hash_bucket, scratch_path, written
 BLOCK_LINES = 1024
 #: Bytes of the key that a directory entry holds; longer keys go on in the block.
 KEY_BYTES = 80
-_ENTRY = struct.Struct(f">{KEY_BYTES}sIQI")  # start of the first key, index part, offset, bytes
+_ENTRY = struct.Struct(f">{KEY_BYTES}sQI")  # start of the first key, offset, bytes
+ENTRY_BYTES = _ENTRY.size
 _WHEN = "2024-01-01T00:00:00Z"  # records carry no time of their own in the table
 
 
@@ -137,12 +142,17 @@ class Archive:
     blocks: int
 
 
-def decide_revisits(pages: DataFrame, least_bytes: int, salts: int = 64) -> DataFrame:
+#: Pages of one part of a group of equal payloads, at most about; beyond the least number of parts there are as many as that takes.
+PART_PAGES = 100_000
+
+
+def decide_revisits(pages: DataFrame, least_bytes: int) -> DataFrame:
     """page_id, url, html and refers_to: of equal payloads the largest page_id is the response.
 
-    Equal payloads are reduced in ``salts`` parts first and the answer goes back to
+    Equal payloads are reduced in 64 parts or more first and the answer goes back to
     each part, so a payload that many pages share is never in one task.
     """
+    salts = max(64, -(-pages.count() // PART_PAGES))
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha1(html.cast("binary"))).alias("d"), hash_bucket("page_id", salts).alias("salt"))
     parts = rows.groupBy("d", "salt").agg(F.max("page_id").alias("last"), F.max(F.octet_length("html")).alias("n"))
@@ -185,49 +195,47 @@ def write_archive(pages: DataFrame, least_bytes: int = 0) -> Archive:
     return Archive(base, captures, _index(spark, base, captures))
 
 
+def directory_entry(first_key: str, offset: int, length: int) -> bytes:
+    return _ENTRY.pack(first_key.encode()[:KEY_BYTES], offset, length)
+
+
 def _index(spark: SparkSession, base: str, captures: DataFrame) -> int:
-    """Sort the captures into compressed blocks, then write the directory; returns the number of blocks."""
+    """Sort the captures into compressed blocks and write the directory; returns the number of blocks."""
     wide = captures.select(F.col("key").cast("binary").alias("k"), "key", "page_id", "file", "offset", "length")
     ordered = wide.repartitionByRange("k", "page_id").sortWithinPartitions("k", "page_id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, out, at = Store(base), None, 0
+        store, out, at, entries = Store(base), None, 0, bytearray()
         name = uuid.uuid4().hex
         lines: list[tuple] = []
 
-        def flush() -> dict:
+        def flush() -> None:
             nonlocal at, lines
             data = zlib.compress("\n".join(json.dumps(x) for x in lines).encode(), 3)
             out.write(data)
-            entry = {"first": lines[0][0].encode(), "file": f"index/{name}", "offset": at, "length": len(data)}
+            entries.extend(directory_entry(lines[0][0], at, len(data)))
             at, lines = at + len(data), []
-            return entry
 
-        entries = []
         for batch in batches:
             for r in batch.to_pylist():
                 if out is None:
                     out = store.write(f"index/{name}")
                 lines.append((r["key"], r["page_id"], r["file"], r["offset"], r["length"]))
                 if len(lines) == BLOCK_LINES:
-                    entries.append(flush())
+                    flush()
         if lines:
-            entries.append(flush())
+            flush()
         if out is not None:
             out.close()
-        yield pa.RecordBatch.from_pylist(entries, pa.schema([("first", pa.binary()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
+            with store.write(f"directory/{name}") as f:
+                f.write(bytes(entries))
+            yield pa.RecordBatch.from_pylist([{"nth": TaskContext.get().partitionId(), "name": name, "blocks": len(entries) // ENTRY_BYTES}])
 
-    blocks = written(ordered.mapInArrow(write, "first binary, file string, offset long, length long"), "blocks")
-    # one line of the directory for each block, streamed to one file; a thousandth of the captures
-    store, parts, n = Store(base), {}, 0
-    with store.write("directory") as out:
-        for r in blocks.orderBy("first", "file", "offset").toLocalIterator():
-            part = parts.setdefault(r["file"], len(parts))
-            out.write(_ENTRY.pack(bytes(r["first"])[:KEY_BYTES], part, r["offset"], r["length"]))
-            n += 1
-    with store.write("parts") as out:
-        out.write("".join(f"{p.rpartition('/')[2]:<32}" for p in parts).encode())
-    return n
+    stretches = written(ordered.mapInArrow(write, "nth long, name string, blocks long"), "stretches")
+    held = sorted(tuple(r) for r in stretches.collect())  # one for each task of the sort, in the order of keys
+    with Store(base).write("stretches") as out:
+        out.write("".join(f"{name} {n}\n" for _, name, n in held).encode())
+    return sum(n for _, _, n in held)
 
 
 class Reader:
@@ -235,12 +243,24 @@ class Reader:
 
     def __init__(self, base: str, blocks: int):
         self.store, self.blocks = Store(base), blocks
+        listed = [x.split() for x in self.store.read("stretches", 0, self.store.size("stretches")).decode().splitlines()]
+        self.names = [name for name, _ in listed]
+        self.ends = list(itertools.accumulate(int(n) for _, n in listed))
+        self.entries: dict[int, tuple[str, bytes, int, int]] = {}
         self.block_at = -1
         self.lines: list[list] = []
 
-    def entry(self, i: int) -> tuple[bytes, int, int, int]:
-        key, part, offset, length = _ENTRY.unpack(self.store.read("directory", i * _ENTRY.size, _ENTRY.size))
-        return key.rstrip(b"\0"), part, offset, length
+    def entry(self, i: int) -> tuple[str, bytes, int, int]:
+        """Name of the stretch, start of the first key, offset and bytes of block ``i``."""
+        got = self.entries.get(i)
+        if got is None:
+            part = bisect.bisect_right(self.ends, i)
+            nth = i - (self.ends[part - 1] if part else 0)
+            key, offset, length = _ENTRY.unpack(self.store.read(f"directory/{self.names[part]}", nth * _ENTRY.size, _ENTRY.size))
+            if len(self.entries) > 100_000:
+                self.entries.clear()
+            got = self.entries[i] = self.names[part], key.rstrip(b"\0"), offset, length
+        return got
 
     def first_block(self, key: bytes) -> int:
         """The first block that may hold ``key``: the last whose first key, as far as it is kept, is less, or block 0."""
@@ -248,7 +268,7 @@ class Reader:
         low, high = 0, self.blocks
         while low < high:
             mid = (low + high) // 2
-            if self.entry(mid)[0] < key:
+            if self.entry(mid)[1] < key:
                 low = mid + 1
             else:
                 high = mid
@@ -256,22 +276,18 @@ class Reader:
 
     def block(self, i: int) -> list[list]:
         if i != self.block_at:
-            _, part, offset, length = self.entry(i)
-            name = self.store.read("parts", 32 * part, 32).decode()
+            name, _, offset, length = self.entry(i)
             self.lines = [json.loads(x) for x in zlib.decompress(self.store.read(f"index/{name}", offset, length)).decode().split("\n")]
             self.block_at = i
         return self.lines
 
-    def captures(self, url: str | None) -> Iterator[list]:
-        """All captures [key, page_id, file, offset, length] of a URL."""
-        key = url_key(url)
+    def blocks_of(self, key: str) -> Iterator[int]:
+        """The blocks that may hold ``key``."""
         wanted = key.encode()
         for i in range(self.first_block(wanted), self.blocks):
-            if self.entry(i)[0] > wanted[:KEY_BYTES]:
+            if self.entry(i)[1] > wanted[:KEY_BYTES]:
                 return
-            for line in self.block(i):
-                if line[0] == key:
-                    yield line
+            yield i
 
     def fetch(self, file: str, offset: int, length: int) -> tuple[dict[str, str], bytes, bytes]:
         return parse_record(zlib.decompress(self.store.read(file, offset, length), 31))
@@ -299,40 +315,76 @@ _READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("pay
 _READ_SQL = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_back(archive: Archive) -> DataFrame:
-    """Every record through the index: page_id, payload_bytes, payload_digest, record_type and refers_to.
+#: Blocks that one task reads, about.
+TASK_BLOCKS = 8
+#: Rows that a task gathers before it passes them on.
+HELD_ROWS = 2_000
 
-    Each task takes a run of blocks of the directory, reads them and then the
-    archive ranges that they name.
+
+def _found(archive: Archive, asked: DataFrame) -> DataFrame:
+    """The captures of each row of ``asked`` (key, url), each row once: url and the columns of :func:`read_back`.
+
+    Keys are searched for in the directory first; that names blocks, each of a fixed
+    size, which are then read with the ranges of the archives that their lines name.
+    So a key that many captures share is the work of many tasks.
     """
-    spark = archive.captures.sparkSession
     base, blocks = archive.base, archive.blocks
 
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(base, blocks)
+        for batch in batches:
+            rows = ((i, k, u) for k, u in zip(*(c.to_pylist() for c in batch.columns), strict=True) for i in reader.blocks_of(k))
+            while part := list(itertools.islice(rows, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), *(pa.array([r[n] for r in part], pa.string()) for n in (1, 2))], ["block", "key", "url"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(base, blocks)
+        schema = pa.schema([("url", pa.string()), *_READ])
+        held: list[dict] = []
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for i, wanted in itertools.groupby(rows, lambda r: r[0]):
+            urls: dict[str, list] = {}
+            for _, key, url in wanted:
+                urls.setdefault(key, []).append(url)
+            for line in sorted((x for x in reader.block(i) if x[0] in urls), key=lambda x: (x[2], x[3])):
+                got = _described(*reader.fetch(*line[2:]))
+                held += [{"url": u, **got} for u in urls[line[0]]]
+                if len(held) >= HELD_ROWS:
+                    yield pa.RecordBatch.from_pylist(held, schema)
+                    held = []
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+    located = asked.select("key", "url").distinct().sortWithinPartitions("key").mapInArrow(locate, "block long, key string, url string")
+    dealt = located.repartition(max(1, -(-blocks // TASK_BLOCKS)), F.floor(F.col("block") / TASK_BLOCKS)).sortWithinPartitions("block")
+    return dealt.mapInArrow(read, f"url string, {_READ_SQL}")
+
+
+def _keys(urls: DataFrame, url_col: str) -> DataFrame:
+    """Key and URL of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in batch.column(0).to_pylist():
-                lines = sorted(reader.block(i), key=lambda x: (x[2], x[3]))
-                yield pa.RecordBatch.from_pylist([_described(*reader.fetch(*x[2:])) for x in lines], _READ)
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column(0).to_pylist()], pa.string()), batch.column(0).cast(pa.string())], ["key", "url"])
 
-    return spark.range(blocks, numPartitions=max(1, min(blocks, -(-blocks // 8)))).mapInArrow(read, _READ_SQL)
+    return urls.select(F.col(url_col).cast("string").alias("url")).mapInArrow(run, "key string, url string")
 
 
-def lookup(archive: Archive, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """The captures of each distinct URL asked for: url and the columns of :func:`read_back`."""
-    base, blocks = archive.base, archive.blocks
+def read_back(archive: Archive, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """The records of all pages whose keys ``urls`` has, found through the index.
+
+    Returns page_id, payload_bytes, payload_digest, record_type and refers_to, one row
+    for each record however often its URL is asked for.
+    """
+    return _found(archive, _keys(urls, url_col).select("key", F.lit(None).cast("string").alias("url"))).drop("url")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(base, blocks)
-        for batch in batches:
-            rows = [{"url": u, **_described(*reader.fetch(*c[2:]))} for u in sorted(batch.column(0).to_pylist(), key=url_key) for c in reader.captures(u)]
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("url", pa.string()), *_READ]))
 
-    return urls.select(F.col(url_col).alias("url")).distinct().mapInArrow(read, f"url string, {_READ_SQL}")
+def lookup(archive: Archive, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """The captures of each distinct URL asked for: url and the columns of :func:`read_back`."""
+    return _found(archive, _keys(urls, url_col))
 
 
 def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Write all rows of ``pages`` to archives and return what reading them back gives, one row for each page.
+    """Write all rows of ``pages`` to archives and look every page's URL up in them; one row for each page.
 
     Pages of equal payload of at least ``least_bytes`` bytes: that with the largest
     page_id is a response, the others revisit it; a page without id is never the one
@@ -340,4 +392,4 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     repeat the largest page_id are responses too.  An empty table gives an empty
     result.
     """
-    return read_back(write_archive(pages, least_bytes))
+    return read_back(write_archive(pages, least_bytes), pages)
