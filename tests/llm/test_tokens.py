@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from webloom.llm import packing, token_counts, tokens, warc
 from webloom.llm.common import string_buffers
@@ -75,22 +76,40 @@ def test_cutting_stock_serves_demand():
     rng = np.random.default_rng(1)
     for capacity in (7, 32, 64):
         demand = rng.integers(0, 60, capacity)
-        plan = packing.cutting_stock(demand, capacity)
+        plan, bound = packing.cutting_stock(demand, capacity)
         assert (sum(p * n for p, n in plan) == demand).all()
         assert all((p * np.arange(1, capacity + 1)).sum() <= capacity and n > 0 for p, n in plan)
         least = -(-(demand * np.arange(1, capacity + 1)).sum() // capacity)
         big = (demand * (np.arange(1, capacity + 1) * 2 > capacity)).sum()
         assert sum(n for _, n in plan) <= max(least, big) * 1.05 + 3
-    assert packing.cutting_stock(np.zeros(5, np.int64), 5) == []
+        assert (demand * np.arange(1, capacity + 1)).sum() / capacity <= bound <= sum(n for _, n in plan) + 1e-9
+    assert packing.cutting_stock(np.zeros(5, np.int64), 5) == ([], 0.0)
 
 
-def test_best_pattern_is_best():
+def test_columns_come_within_the_gap_of_the_bound():
+    rng = np.random.default_rng(2)
+    demand = np.zeros(4096, np.int64)
+    np.add.at(demand, np.minimum(4095, rng.lognormal(5.5, 1.2, 100_000).astype(int) // 16 * 16 + 15), 1)
+    plan, bound = packing.cutting_stock(demand, 4096)
+    assert sum(n for _, n in plan) <= bound * 1.002 + np.count_nonzero(demand) / 8
+
+
+@pytest.mark.parametrize("text", [None, "a b", "a b c d e f g", "word " * 70])
+def test_short_texts_leave_little_padding(spark, text):
+    got = packing.pack_documents(spark.range(8192).select(F.col("id").alias("doc_id"), F.lit(text).cast("string").alias("text"))).select("sequence_id", "length", "doc_tokens").collect()
+    whole = 4096 // got[0].doc_tokens  # documents in a sequence
+    assert len(got) == 8192 and len({r.sequence_id for r in got}) <= -(-8192 // whole) * 1.02
+
+
+def test_best_patterns_are_best():
     rng = np.random.default_rng(4)
+    sizes = np.arange(1, 7)
     for _ in range(20):
         value = rng.random(6)
         best = max(sum(v * k for v, k in zip(value, ks, strict=True)) for ks in np.ndindex(13, 7, 5, 4, 3, 3) if sum((i + 1) * k for i, k in enumerate(ks)) <= 12)
-        got, pattern = packing.best_pattern(value, 12)
-        assert got == pytest.approx(best) and (pattern * value).sum() == pytest.approx(best)
+        got, patterns = packing.best_patterns(sizes, value, 12)
+        assert got == pytest.approx(best) and (patterns @ value).max() == pytest.approx(best)
+        assert (patterns @ sizes <= 12).all()
 
 
 def test_histogram_equals_brute_force(spark, direct):
@@ -132,7 +151,7 @@ def test_archive_round_trip(spark, monkeypatch):
         last = top[h or ""] or None
         revisit = i != last
         want.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", last if revisit else None))
-    assert sorted(map(tuple, warc.read_back(archive).collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, warc.read_back(archive, pages_of(spark, rows)).collect()), key=str) == sorted(want, key=str)
     asked = pages_of(spark, [*rows, (0, "http://never.org/", "")]).select("url")
     got = warc.lookup(archive, asked).collect()
     of_key = defaultdict(set)
@@ -158,7 +177,7 @@ def test_small_payloads_are_never_revisits(spark):
 
 def test_archive_of_nothing(spark):
     archive = warc.write_archive(pages_of(spark, []))
-    assert warc.read_back(archive).count() == 0
+    assert warc.read_back(archive, pages_of(spark, [(1, "http://a", "")])).count() == 0
     assert warc.lookup(archive, pages_of(spark, [(1, "http://a", "")])).count() == 0
 
 
@@ -174,3 +193,15 @@ def test_histogram_answers_any_limit(spark):
         assert abs(r.quantile - sum(x <= r.n_tokens for x in sizes) / len(sizes)) < 1e-12
     none = token_counts.at_limits(token_counts.length_histogram(docs.limit(0)), [5]).collect()
     assert [tuple(r) for r in none] == [(5, 0, 0, 0, None)]
+
+
+def test_histogram_rows_of_limits_and_quantiles(spark):
+    docs = spark.createDataFrame([(i, "word " * (7 * i)) for i in range(9)], "doc_id long, text string")
+    sizes = sorted(r.n_tokens for r in token_counts.document_lengths(docs).collect())
+    got = {r.n_tokens: r for r in token_counts.length_histogram(docs, limits=[1, sizes[3], 4096]).collect()}
+    assert set(got) == {*sizes, 1, 4096} and got[1].n_docs == 0 and got[sizes[3]].n_docs == 1
+    assert (got[1].docs_from, got[1].truncated_tokens, got[4096].docs_upto) == (8, 8, 9)
+    shares = {r.share: r.n_tokens for r in token_counts.at_quantiles(token_counts.length_histogram(docs, limits=[1]), [0.1, 0.5, 1.0]).collect()}
+    assert shares == {0.1: sizes[0], 0.5: sizes[4], 1.0: sizes[8]}
+    empty = token_counts.length_histogram(docs.limit(0), limits=[5])
+    assert [(r.n_tokens, r.n_docs, r.quantile) for r in empty.collect()] == [(5, 0, None)]
