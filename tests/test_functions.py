@@ -84,7 +84,7 @@ def test_classification_thresholds(spark):
     assert _category(spark, None, None) == ("uncategorized", 0)
     df = spark.createDataFrame([("", "lease " * 25)], "u string, t string")
     assert classify.classify_capped(df, F.col("u"), F.col("t")).first()["score"] == 10
-    assert sum(len(w) for _, w in classify.CATEGORIES) == 242 and len(classify.CATEGORIES) == 24
+    assert sum(map(len, classify.CATEGORIES.values())) == 242 and len(classify.CATEGORIES) == 24
 
 
 def test_pagerank_small(spark):
@@ -166,3 +166,39 @@ def test_seeds(spark):
     assert frontier.brute_force_hosts(spark, "x.org", none).count() == 35
     many = spark.createDataFrame([(f"h{i}.x.org",) for i in range(12)], "host string")
     assert frontier.brute_force_hosts(spark, "x.org", many).count() == 12 and frontier.seed_urls(spark, many, "x.org").count() == 12
+
+
+def test_report_of_empty_pages(spark):
+    pages = spark.createDataFrame([("u", ""), ("v", None), ("w", "<p>text</p>")], "url string, html string")
+    got = {r.url: r for r in html.extraction_report(pages).collect()}
+    assert len(got) == 3 and got["u"].noise_reduction is None and got["w"].noise_reduction is not None
+
+
+def test_lookups_read_postings_and_indexes_alike(spark):
+    docs = spark.createDataFrame([(1, "Alpha beta"), (2, "alpha gamma"), (3, "beta alpha alpha")], "k int, t string")
+    post, whole = index.postings(docs, "k", F.col("t")), index.inverted_index(docs, "k", F.col("t"))
+    for words in (["alpha", "BETA"], ["gamma", "beta"], ["none", "alpha"], ["alpha", "alpha"]):
+        for how in ("and", "or"):
+            assert sorted(r.key for r in index.lookup_all(post, words, how).collect()) == sorted(r.key for r in index.lookup_all(whole, words, how).collect())
+
+
+def test_schedule_of_a_busy_host_in_blocks(spark):
+    times = [("h", float(t % 97 * 11), t) for t in range(300)] + [("g", 5.0, 1000), (None, 1.0, 1001)]
+    df = spark.createDataFrame(times, "h string, a double, i int")
+    got = {r.i: r.slot for r in fetchlog.schedule(df, "h", "a", 2.5, "i", block=50.0).collect()}
+    free = {}
+    for h, a, i in sorted(times, key=lambda x: (x[1], x[2])):
+        slot = max(a, free.get(h, a))
+        free[h] = slot + 2.5
+        assert got[i] == pytest.approx(slot)
+
+
+def test_near_links_and_classes_say_what_pairs_do(spark):
+    df = spark.createDataFrame([(1, 5), (2, 5), (3, 7), (4, 1 << 60), (5, 5)], "k int, fp long")
+    who = {}
+    for r in neardup.near_classes(df, "k").collect():
+        who.setdefault(r.fp, set()).add(r.k)
+        assert (r.first_key, r.n) == ((1, 3) if r.fp == 5 else (r.k, 1))
+    pairs = {(a, b, 0) for ks in who.values() for a in ks for b in ks if a < b}
+    pairs |= {(min(a, b), max(a, b), r.dist) for r in neardup.near_links(df).collect() for a in who[r.fp] for b in who[r.fp2]}
+    assert pairs == {tuple(r) for r in neardup.near_pairs(df, "k").collect()}

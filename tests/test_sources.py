@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from webloom.operators.ai import keyword_scorer
 from webloom.plans import pipeline
 from webloom.schemas import PAGE, STATE, Config
@@ -86,3 +88,40 @@ def test_pipeline(spark, small):
     assert n > 0 and kb.state.count() == n and kb.files.count() == n
     assert kb.ranks.count() >= n and kb.index.count() > 0
     assert kb.files.filter("category = 'news'").count() > 0
+
+
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    base = f"file://{tmp_path}/t"
+    one = spark.createDataFrame([(1,)], "v int")
+    sinks.write_snapshot(one, base)
+    (tmp_path / "t" / "v-000000000002").mkdir()  # as if another writer had come first
+    monkeypatch.setattr(sinks, "_versions", lambda *_: [1])
+    with pytest.raises(OSError):
+        sinks.write_snapshot(spark.createDataFrame([(2,)], "v int"), base)
+    assert [r.v for r in sinks.read_snapshot(spark, base).collect()] == [1]
+    monkeypatch.undo()
+    (tmp_path / "t" / "v-000000000002").rmdir()
+    (tmp_path / "t" / "draft-x").mkdir()  # left by a writer that died
+    assert [r.v for r in sinks.read_snapshot(spark, base).collect()] == [1]
+    with pytest.raises(FileNotFoundError):
+        sinks.read_snapshot(spark, f"file://{tmp_path}/none")
+
+
+def test_missing_files_and_queues(spark, tmp_path):
+    none = f"file://{tmp_path}/none"
+    assert [f(spark, none).count() for f in (readers.read_pending, readers.read_blacklist, readers.read_ranks)] == [0, 0, 0]
+    urls = spark.createDataFrame([(3, "b"), (1, "c"), (2, "b"), (0, "é")], "pos int, url string")
+    sinks.write_pending(urls, f"file://{tmp_path}/queue")
+    assert [r.url for r in readers.read_pending(spark, f"file://{tmp_path}/queue").collect()] == ["é", "c", "b", "b"]
+    for part in (["x", "y\t"], ["z", "x"]):
+        sinks.append_urls(spark.createDataFrame([(u,) for u in part], "url string"), f"file://{tmp_path}/black")
+    assert sorted(r.url for r in readers.read_blacklist(spark, f"file://{tmp_path}/black").collect()) == ["x", "y", "z"]
+    (tmp_path / "ranks.txt").write_text("1.5\tu\n2.5\tu\n")
+    assert [tuple(r) for r in readers.read_ranks(spark, f"file://{tmp_path}/ranks.txt").collect()] == [("u", 2.5)]
+
+
+def test_files_of_moved_pages_go(spark, tmp_path):
+    md = spark.createDataFrame([("news", "a.md", "x"), ("events", "b.md", "y")], "category string, filename string, md string")
+    sinks.write_markdown_files(md, f"file://{tmp_path}/kb")
+    sinks.delete_files(md.filter("category = 'news'").union(spark.createDataFrame([("news", "no.md", "")], md.schema)), f"file://{tmp_path}/kb")
+    assert not (tmp_path / "kb/news/a.md").exists() and (tmp_path / "kb/events/b.md").read_text() == "y"

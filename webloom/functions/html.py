@@ -154,13 +154,13 @@ def page_metadata(pages: DataFrame, noise: Noise = SIDEBAR_NOISE) -> DataFrame:
 
 
 def extraction_report(pages: DataFrame, noise: Noise = MENU_NOISE) -> DataFrame:
-    """Sizes before and after cleaning, the share of noise in per cent, and warnings."""
+    """Sizes before and after cleaning, the share of noise in per cent (null for an empty page), and warnings."""
     text = F.col("p")["content"]
     return pages.withColumn("p", page_udf(noise)("html", "url")).select(
         "url",
         F.length("html").alias("raw_chars"),
         F.length(text).alias("clean_chars"),
-        F.round((1 - F.length(text) / F.length("html")) * 100, 1).alias("noise_reduction"),
+        F.round((1 - F.try_divide(F.length(text), F.length("html"))) * 100, 1).alias("noise_reduction"),
         text.contains(SKIP_PHRASE).alias("has_residue"),
         (F.length(text) < 200).alias("too_short"),
     )

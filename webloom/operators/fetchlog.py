@@ -41,16 +41,24 @@ def html_gate(html: Column) -> Column:
     return F.when(F.coalesce(F.length(html), F.lit(0)) == 0, "empty_html").when(F.length(html) > 100, "process").otherwise("html_too_short")
 
 
-def schedule(arrivals: DataFrame, host: str, arrival: str, delay: float, *tie: str) -> DataFrame:
+def schedule(arrivals: DataFrame, host: str, arrival: str, delay: float, *tie: str, block: float = 3600.0) -> DataFrame:
     """Add ``slot``, the second at which each request may go: its arrival, or ``delay`` after the one before on its host.
 
     slot = max over the requests so far of (arrival - delay * place) + delay * place.
+    Requests of a host are numbered in blocks of so many seconds, and only the count and
+    the maximum of each block are carried on, so a busy host is the work of many tasks.
     """
-    order = Window.partitionBy(host).orderBy(arrival, *tie)
-    place = F.row_number().over(order)
-    rows = arrivals.withColumn("_place", place)
+    order = Window.partitionBy(host, "_block").orderBy(arrival, *tie)
+    rows = arrivals.withColumn("_block", F.floor(F.col(arrival) / block)).withColumn("_place", F.row_number().over(order))
+    rows = rows.withColumn("_lead", F.col(arrival) - delay * F.col("_place"))
+    blocks = rows.groupBy(host, "_block").agg(F.count(F.lit(1)).alias("_n"), F.max("_lead").alias("_top"))
+    ahead = Window.partitionBy(host).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+    blocks = blocks.withColumn("_carried", F.max(F.col("_top") - delay * F.col("_before")).over(ahead)).select(F.col(host).alias("_host"), F.col("_block").alias("_b"), "_before", "_carried")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("slot", F.max(F.col(arrival) - delay * F.col("_place")).over(upto) + delay * F.col("_place")).drop("_place")
+    own = F.max("_lead").over(upto) - delay * F.col("_before")
+    met = rows.join(blocks, rows[host].eqNullSafe(blocks["_host"]) & rows["_block"].eqNullSafe(blocks["_b"]))
+    return met.withColumn("slot", F.greatest(own, "_carried") + delay * (F.col("_place") + F.col("_before"))).select(*arrivals.columns, "slot")
 
 
 def dns_gate(log: DataFrame, most: int = 3) -> DataFrame:

@@ -25,10 +25,22 @@ def link_actions(links: DataFrame, visited: DataFrame, blacklist: DataFrame, roo
     return links.join(seen, "url", "left").join(black, "url", "left").withColumn("action", action).drop("_fresh", "_black")
 
 
-def next_frontier(actions: DataFrame, cap: int = 0) -> DataFrame:
-    """Distinct URLs to crawl next, in order, as many as the cap leaves; 0 or less is no cap."""
+def next_frontier(actions: DataFrame, cap: int = 0, scanned: int = 0) -> DataFrame:
+    """Distinct URLs to crawl next, in order, as many as the cap leaves after ``scanned`` pages; a cap of 0 or less is none."""
     urls = actions.filter("action = 'enqueue'").select("url").distinct()
-    return urls.orderBy("url").limit(cap) if cap > 0 else urls
+    return urls.orderBy("url").limit(max(0, cap - scanned)) if cap > 0 else urls
+
+
+def fifo_frontier(actions: DataFrame, enqueued_at: str, cap: int = 0, scanned: int = 0) -> DataFrame:
+    """(url, enqueued_at) to crawl next, first in first out: each URL since it was first enqueued, ties by URL; caps as in :func:`next_frontier`."""
+    queue = actions.filter("action = 'enqueue'").groupBy("url").agg(F.min(enqueued_at).alias("enqueued_at")).orderBy("enqueued_at", "url")
+    return queue.limit(max(0, cap - scanned)) if cap > 0 else queue
+
+
+def marked_visited(visited: DataFrame, enqueued: DataFrame, at: Column) -> DataFrame:
+    """``visited`` (url, visited_ts) with the time ``at`` for every URL that is enqueued, known or not, so that none is enqueued twice."""
+    now = enqueued.select("url").distinct().withColumn("visited_ts", at)
+    return visited.select("url", "visited_ts").join(now.select("url"), "url", "left_anti").unionByName(now)
 
 
 def first_per_host(urls: DataFrame, order: str, most: int = 10) -> DataFrame:

@@ -27,14 +27,23 @@ def document_frequencies(df: DataFrame, key: str, text: Column, longer_than: int
 
 
 def lookup(index: DataFrame, word: str) -> DataFrame:
-    """Keys of one word, one row each."""
-    return index.filter(F.col("word") == word.lower()).select(F.explode("keys").alias("key"))
+    """Keys of one word of an index or of postings, one row each."""
+    found = index.filter(F.col("word") == word.lower())
+    return found.select(F.explode("keys").alias("key")) if "keys" in index.columns else found.select(F.col([c for c in index.columns if c != "word"][0]).alias("key"))
 
 
 def lookup_all(index: DataFrame, words: list[str], how: str = "and") -> DataFrame:
-    """Keys that hold all (``and``) or any (``or``) of the words."""
-    found = [lookup(index, w) for w in words]
-    return reduce(lambda a, b: a.intersect(b), found) if how == "and" else reduce(lambda a, b: a.union(b), found).distinct()
+    """Keys that hold all (``and``) or any (``or``) of the words, of an index or of postings.
+
+    Postings are read once and only the words asked for go on, with no list of a word's keys in one row.
+    """
+    if "keys" in index.columns:
+        found = [lookup(index, w) for w in words]
+        return reduce(lambda a, b: a.intersect(b), found) if how == "and" else reduce(lambda a, b: a.union(b), found).distinct()
+    asked = sorted({w.lower() for w in words})
+    key = next(c for c in index.columns if c != "word")
+    held = index.filter(F.col("word").isin(asked)).groupBy(F.col(key).alias("key")).agg(F.count_distinct("word").alias("n"))
+    return held.filter(F.col("n") >= (len(asked) if how == "and" else 1)).select("key")
 
 
 def index_lines(index: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from webloom.functions.text import fingerprint_block, fnv1a, hamming, simhash, tokens
 
@@ -34,12 +33,8 @@ def near_pairs(fps: DataFrame, key: str, most: int = 3) -> DataFrame:
     is taken in the lowest block that agrees, so no pair comes up twice.
     """
     points = fps.groupBy("fp").agg(F.collect_list(key).alias("keys"))
-    blocks = points.select("fp", F.posexplode(F.array(*[fingerprint_block(F.col("fp"), k) for k in range(4)])).alias("k", "v"))
-    x, y = blocks.alias("x"), blocks.select(F.col("fp").alias("fp2"), "k", "v").alias("y")
-    lower = [~((F.col("k") > k) & (fingerprint_block(F.col("fp"), k) == fingerprint_block(F.col("fp2"), k))) for k in range(3)]
-    close = x.join(y, ["k", "v"]).filter((F.col("fp") < F.col("fp2")) & (hamming(F.col("fp"), F.col("fp2")) <= most) & lower[0] & lower[1] & lower[2])
     far = (
-        close.select("fp", "fp2", hamming(F.col("fp"), F.col("fp2")).alias("dist"))
+        _close(points.select("fp"), most)
         .join(points.select("fp", F.col("keys").alias("ka")), "fp")
         .join(points.select(F.col("fp").alias("fp2"), F.col("keys").alias("kb")), "fp2")
         .select(F.explode("ka").alias("p"), "kb", "dist")
@@ -49,7 +44,31 @@ def near_pairs(fps: DataFrame, key: str, most: int = 3) -> DataFrame:
     return far.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.col("dist").cast("int").alias("dist")).unionByName(same.select(F.col("p").alias("a"), F.col("q").alias("b"), F.col("dist").cast("int")))
 
 
-def near_classes(fps: DataFrame, key: str) -> DataFrame:
-    """key, fp, the smallest key of equal fingerprints and how many there are, without listing their pairs."""
-    w = Window.partitionBy("fp")
-    return fps.select(key, "fp", F.min(key).over(w).alias("first_key"), F.count(F.lit(1)).over(w).alias("n"))
+def near_links(fps: DataFrame, most: int = 3) -> DataFrame:
+    """Pairs (fp, fp2, dist) of distinct fingerprints that differ in at most ``most`` (up to 3) bits, fp < fp2.
+
+    With :func:`near_classes` for who has which fingerprint, this says the same as
+    :func:`near_pairs` without expanding classes into pairs of keys.
+    """
+    return _close(fps.select("fp").distinct(), most)
+
+
+def _close(points: DataFrame, most: int) -> DataFrame:
+    blocks = points.select("fp", F.posexplode(F.array(*[fingerprint_block(F.col("fp"), k) for k in range(4)])).alias("k", "v"))
+    x, y = blocks.alias("x"), blocks.select(F.col("fp").alias("fp2"), "k", "v").alias("y")
+    lower = [~((F.col("k") > k) & (fingerprint_block(F.col("fp"), k) == fingerprint_block(F.col("fp2"), k))) for k in range(3)]
+    close = x.join(y, ["k", "v"]).filter((F.col("fp") < F.col("fp2")) & (hamming(F.col("fp"), F.col("fp2")) <= most) & lower[0] & lower[1] & lower[2])
+    return close.select("fp", "fp2", hamming(F.col("fp"), F.col("fp2")).cast("int").alias("dist"))
+
+
+def near_classes(fps: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """key, fp, the smallest key of equal fingerprints and how many there are, without listing their pairs.
+
+    Classes are summed up in parts, and the sums go back to the parts, so that one that
+    holds a third of all rows is no single task's.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    rows = fps.select(key, "fp", part.alias("_part"))
+    sums = rows.groupBy("fp", "_part").agg(F.min(key).alias("_low"), F.count(F.lit(1)).alias("_n"))
+    whole = sums.groupBy("fp").agg(F.min("_low").alias("first_key"), F.sum("_n").alias("n"))
+    return rows.join(sums.select("fp", "_part").join(whole, "fp"), ["fp", "_part"]).select(key, "fp", "first_key", "n")

@@ -30,8 +30,11 @@ def latest(rows: DataFrame, key: str, *order: Column | str) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, *order: Column | str) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those with the same key; of several new ones the last counts."""
-    fresh = latest(new, key, *order) if order else new.dropDuplicates([key])
+    """``old`` with the rows of ``new`` in place of those with the same key; of several new ones the last counts.
+
+    Without an order the largest row by its other columns, in their order, is the last.
+    """
+    fresh = latest(new, key, *(order or [c for c in new.columns if c != key]))
     return old.join(fresh.select(key), key, "left_anti").unionByName(fresh)
 
 
@@ -86,5 +89,20 @@ def merged_in_order(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def checkpoint_marks(rows: DataFrame, *order: str, every: int = 10) -> DataFrame:
-    """The rows after which a checkpoint is due; for the rows of one batch."""
-    return rows.withColumn("ordinal", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).filter(F.col("ordinal") % every == 0)
+    """The rows after which a checkpoint is due, with their ``ordinal`` from 1 in the order.
+
+    Rows are sorted by range; only the counts of the ranges are numbered in one place.
+    """
+    part = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    inside = part.withColumn("_nth", (F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33) + 1).cast("long"))
+    counts = inside.groupBy("_part").agg(F.max("_nth").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(counts.select("_part", before.alias("_before")))  # a row for each range
+    return inside.join(starts, "_part").withColumn("ordinal", F.col("_before") + F.col("_nth")).filter(F.col("ordinal") % every == 0).drop("_part", "_at", "_nth", "_before")
+
+
+def moved_or_gone(changed: DataFrame, state: DataFrame, gone_urls: DataFrame | None = None) -> DataFrame:
+    """(url, category) of the old files to delete: of pages whose category changed and of pages that are gone."""
+    known = state.select("url", "category")
+    moved = changed.filter("moved").select("url").join(known, "url")
+    return moved if gone_urls is None else moved.unionByName(known.join(gone_urls.select("url").distinct(), "url", "left_semi")).distinct()

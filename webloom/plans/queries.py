@@ -60,12 +60,12 @@ def index_term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id AS key FROM ({_WORDS}) WHERE word = 'with' INTERSECT SELECT doc_id FROM ({_WORDS}) WHERE word = 'that'")
 def index_lookup_and(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.lookup_all(inverted_index(spark, sf_dir), ["with", "that"])
+    return index.lookup_all(index.postings(_t(spark, sf_dir, "documents"), "doc_id", F.col("text")), ["with", "that"])
 
 
 @query(f"SELECT DISTINCT doc_id AS key FROM ({_WORDS}) WHERE word IN ('idiot', 'license')")
 def index_lookup_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.lookup_all(inverted_index(spark, sf_dir), ["idiot", "license"], "or")
+    return index.lookup_all(index.postings(_t(spark, sf_dir, "documents"), "doc_id", F.col("text")), ["idiot", "license"], "or")
 
 
 @query(f"SELECT count(DISTINCT word) AS n_words FROM ({_WORDS})")
@@ -74,17 +74,17 @@ def index_unique_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- classification
-_SMALL = classify.taxonomy("""
-english: the, and, that
-german: der, und, ung
-french: eau, ment, oi
-spanish: ción, que, ado
-legal: licensed under
-""")
+_SMALL = {
+    "english": ["the", "and", "that"],
+    "german": ["der", "und", "ung"],
+    "french": ["eau", "ment", "oi"],
+    "spanish": ["ción", "que", "ado"],
+    "legal": ["licensed under"],
+}
 
 
 def _classified_sql(rules: classify.Taxonomy, table: str, key: str, u: str, body: str, over: int, default: str, cap: int | None) -> str:
-    rows = ", ".join(f"({i}, '{n}', '{w}')" for i, (n, ws) in enumerate(rules) for w in ws)
+    rows = ", ".join(f"({i}, '{n}', '{w}')" for i, (n, ws) in enumerate(rules.items()) for w in ws)
     count = "((length(t) - length(replace(t, kw, ''))) // length(kw))"
     count = f"least({count}, {cap})" if cap else count
     return f"""WITH tax(ord, category, kw) AS (VALUES {rows}),
@@ -252,6 +252,12 @@ def page_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render.with_rank(_t(spark, sf_dir, "pages"), ranks, high=0.9).select("page_id", "pagerank", "priority")
 
 
+@query(f"{_PRIORITY} SELECT page_id, pagerank, CASE WHEN pagerank > 5.0 THEN 'high' ELSE 'normal' END AS priority FROM ranked")
+def page_priority_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = graph.pagerank(_nodes(spark, sf_dir), _edges(spark, sf_dir))
+    return render.with_rank(_t(spark, sf_dir, "pages"), ranks).select("page_id", "pagerank", "priority")
+
+
 @query(
     f"""{_PRIORITY} SELECT 'uncategorized' AS category, left(translate(url, ':/.', '___'), 100) || '.md' AS filename,
   '---' || chr(10) || 'url: ' || url || chr(10) || 'title: ' || t || chr(10) || 'category: uncategorized' || chr(10) || 'pagerank_score: ' || printf('%.6f', pagerank) || chr(10)
@@ -364,6 +370,37 @@ def frontier_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.next_frontier(_actions(spark, sf_dir), cap=50)
 
 
+@query(f"WITH {_EDGES}, {_ACTION} SELECT DISTINCT url FROM acts WHERE action = 'enqueue' ORDER BY url LIMIT 30")
+def frontier_capped_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frontier.next_frontier(_actions(spark, sf_dir), cap=50, scanned=20)
+
+
+@query("""SELECT user_id AS url, min(ts) AS enqueued_at FROM events WHERE event_type <> 'error' GROUP BY user_id ORDER BY min(ts), user_id LIMIT 40""")
+def frontier_fifo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _t(spark, sf_dir, "events").select(F.col("user_id").alias("url"), "ts", F.when(F.col("event_type") == "error", "asset").otherwise("enqueue").alias("action"))
+    return frontier.fifo_frontier(events, "ts", cap=50, scanned=10)
+
+
+@query(f"""SELECT user_id AS url, CASE WHEN bool_or(event_type = 'click') THEN TIMESTAMP '{AS_OF}' ELSE max(ts) END AS visited_ts FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id""")
+def visited_at_enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _t(spark, sf_dir, "events")
+    seen = events.filter("event_type = 'view'").groupBy(F.col("user_id").alias("url")).agg(F.max("ts").alias("visited_ts"))
+    return frontier.marked_visited(seen, events.filter("event_type = 'click'").select(F.col("user_id").alias("url")), F.to_timestamp(F.lit(AS_OF)).cast(events.schema["ts"].dataType))
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS ordinal FROM events QUALIFY row_number() OVER (ORDER BY ts, event_id) % 10 = 0")
+def checkpoint_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.checkpoint_marks(_t(spark, sf_dir, "events").select("event_id", "ts"), "ts", "event_id").select("event_id", "ordinal")
+
+
+@query(f"WITH {_STATE} SELECT d.doc_id AS url, lang AS category FROM documents d JOIN state s USING (doc_id) WHERE s.hash <> md5(text)")
+def moved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = _stored(spark, sf_dir)
+    pages = state.with_hash(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("url"), "text", F.col("lang").alias("category")), F.col("text"))
+    changed = state.change_status(pages.withColumn("category", F.concat("category", F.lit("!"))), old).filter("status = 'UPDATED'")
+    return state.moved_or_gone(changed, old)
+
+
 @query(f"WITH {_EDGES} SELECT dst AS url FROM edges WHERE dst NOT IN (SELECT url FROM pages)")
 def blacklist_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.blacklist_filter(_edges(spark, sf_dir).select(F.col("dst").alias("url")), _t(spark, sf_dir, "pages"))

@@ -15,6 +15,8 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="webloom-tables-")
         spark.conf.set("spark.checkpoint.dir", base)

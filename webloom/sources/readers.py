@@ -9,6 +9,16 @@ from webloom.operators.validate import valid_pages
 from webloom.schemas import PAGE, RANK, STATE
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))
+
+
+def _text(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Text of a file; nothing if it isn't there."""
+    return spark.read.text(path, **options) if _exists(spark, path) else spark.createDataFrame([], "value string")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files, unparsed (column ``value``)."""
     return spark.read.text(path)
@@ -37,8 +47,8 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pending(spark: SparkSession, path: str) -> DataFrame:
-    """URLs of a JSON array, repeats included; what can't be read is empty."""
-    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("url"))
+    """URLs of a JSON array, repeats included; what can't be read, and a file that isn't there, is empty."""
+    return _text(spark, path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("url"))
 
 
 def consume(spark: SparkSession, path: str) -> None:
@@ -48,13 +58,20 @@ def consume(spark: SparkSession, path: str) -> None:
 
 
 def read_blacklist(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.trim("value").alias("url")).filter("url <> ''").distinct()
+    """Distinct lines without the white space around them, blank ones left out; a missing file is empty."""
+    return _text(spark, path).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("url")).filter("url <> ''").distinct()
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
-    """(id, rank) of tab-separated lines; lines without a number are left out, of repeats the last read counts."""
+    """(id, rank) of tab-separated lines; lines without a number are left out, of repeats the last line of the last file counts.
+
+    A missing file is empty.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], "id string, rank double")
     rows = spark.read.schema(RANK).option("sep", "\t").option("mode", "PERMISSIVE").csv(path)
-    return rows.filter("rank is not null").groupBy(F.col("url").alias("id")).agg(F.last("rank").alias("rank"))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return rows.select("url", "rank", place.alias("_at")).filter("rank is not null").groupBy(F.col("url").alias("id")).agg(F.max_by("rank", "_at").alias("rank"))
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:

@@ -17,24 +17,39 @@ def _path(spark: SparkSession, path: str):
 
 
 def write_snapshot(df: DataFrame, base: str) -> str:
-    """Write a new version of a table and make it current by renaming a pointer; returns its path.
+    """Write a new version of a table and make it current by renaming it to the next number; returns its path.
 
-    Readers of the version before are not disturbed; a failed write leaves it current.
+    Nothing is deleted or replaced: readers of the version before are not disturbed, and
+    whatever fails, the last version that was renamed stays current.  Of two writers
+    that take the same number one fails.
     """
     spark = df.sparkSession
-    version = f"{base}/v-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.text(f"{base}/next-{version[-8:]}")
-    (new, fs), (current, _) = _path(spark, f"{base}/next-{version[-8:]}"), _path(spark, f"{base}/current")
-    fs.delete(current, True)
-    if not fs.rename(new, current):
-        raise OSError(f"{base}: the pointer could not be renamed")
+    numbers = _versions(spark, base)
+    draft, version = f"{base}/draft-{uuid.uuid4().hex}", f"{base}/v-{(numbers[-1] if numbers else 0) + 1:012d}"
+    df.write.parquet(draft)
+    (new, fs), (current, _) = _path(spark, draft), _path(spark, version)
+    if fs.exists(current) or not fs.rename(new, current):
+        raise OSError(f"{version} could not be made current")
     return version
 
 
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the versions of a table, ascending."""
+    at, fs = _path(spark, base)
+    names = [str(f.getPath().getName()) for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n[2:]) for n in names if n.startswith("v-"))
+
+
+def has_snapshot(spark: SparkSession, base: str) -> bool:
+    return bool(_versions(spark, base))
+
+
 def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """The current version of a table."""
-    return spark.read.parquet(spark.read.text(f"{base}/current").first()[0])
+    """The current version of a table: the one with the highest number."""
+    numbers = _versions(spark, base)
+    if not numbers:
+        raise FileNotFoundError(f"{base} has no version")
+    return spark.read.parquet(f"{base}/v-{numbers[-1]:012d}")
 
 
 def drop_snapshots(spark: SparkSession, *bases: str) -> None:
@@ -54,6 +69,35 @@ def write_urls(urls: DataFrame, path: str) -> None:
     urls.select("url").distinct().orderBy("url").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_pending(urls: DataFrame, path: str) -> None:
+    """URLs (pos, url) as one JSON array in the order of ``pos``, repeats included: what ``read_pending`` reads.
+
+    The queue of one run is one value, as the format asks; it is built in one task.
+    """
+    line = urls.groupBy().agg(F.array_sort(F.collect_list(F.struct("pos", "url"))).alias("q")).select(F.to_json(F.transform("q", lambda x: x["url"])).alias("value"))
+    line.coalesce(1).write.mode("overwrite").text(path)
+
+
+def append_urls(urls: DataFrame, path: str) -> None:
+    """Add lines to a list of URLs; those that it has already stay as they are."""
+    urls.select("url").write.mode("append").text(path)
+
+
+def delete_files(gone: DataFrame, path: str) -> None:
+    """Delete the files ``path/category/filename`` of the rows (category, filename); missing ones are passed over."""
+
+    def run(rows):
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        for r in rows:
+            name = f"{root}/{r['category']}/{r['filename']}"
+            if fs.get_file_info(name).type == pafs.FileType.File:
+                fs.delete_file(name)
+
+    gone.select("category", "filename").distinct().foreachPartition(run)
+
+
 def write_ranks(ranks: DataFrame, path: str) -> None:
     rank_lines(ranks).write.mode("overwrite").text(path)
 

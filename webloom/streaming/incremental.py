@@ -16,20 +16,15 @@ from webloom.operators.classify import CATEGORIES, Taxonomy, classify
 from webloom.operators.state import change_status, latest, state_rows, upsert, with_hash
 from webloom.operators.validate import valid_pages
 from webloom.schemas import PAGE, STATE
-from webloom.sources.sinks import read_snapshot, write_snapshot
+from webloom.sources.sinks import has_snapshot, read_snapshot, write_snapshot
 
 
 def _current(spark: SparkSession, base: str, schema) -> DataFrame:
-    try:
-        return read_snapshot(spark, base)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+    return read_snapshot(spark, base) if has_snapshot(spark, base) else spark.createDataFrame([], schema)
 
 
 def merge_batch(lines: DataFrame, base: str, as_of: dt.datetime, rules: Taxonomy = CATEGORIES) -> DataFrame:
-    """Merge one batch of lines into ``base/pages`` and ``base/state``; returns url and status of its pages."""
+    """Merge one batch of lines into ``base/pages`` and ``base/state``; returns how many of its pages have which status."""
     spark = lines.sparkSession
     pages = latest(valid_pages(lines).filter("url <> ''"), "url", "timestamp")
     text = F.concat_ws(" ", "title", "content")
@@ -41,7 +36,7 @@ def merge_batch(lines: DataFrame, base: str, as_of: dt.datetime, rules: Taxonomy
         old_pages = _current(spark, f"{base}/pages", PAGE)
         write_snapshot(upsert(old_pages, kept, "url"), f"{base}/pages")
         write_snapshot(upsert(state, state_rows(changed, as_of), "url"), f"{base}/state")
-        return spark.createDataFrame(changed.select("url", "status").toArrow())
+        return spark.createDataFrame(changed.groupBy("status").count().toArrow())  # three rows at most
     finally:
         changed.unpersist()
 
