@@ -12,7 +12,7 @@ step with each other in numpy, each at its own pace.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import lean, row_slices, string_buffers
+from webloom.llm.common import WORKER_CACHES, hash_bucket, lean, row_slices, string_buffers, written
 
 _TABLE_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -127,8 +127,12 @@ class Scanner:
     def __init__(self, sets: list[list[tuple[bytes, int, list[str]]]]):
         self.sets = [(WuManber([p for p, _, _ in s]), np.array([n for _, n, _ in s]), [i for _, _, i in s]) for s in sets]
 
-    def scan(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-        """For each row: words, words hit, and the sorted ids of items that occur."""
+    def scan(self, data: np.ndarray, offsets: np.ndarray, before: list[list[int]] | None = None, want_spans: bool = False) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[np.ndarray]]:
+        """For each row: words, words hit, the sorted ids of items that occur and, if wanted, the stretches of words hit.
+
+        Stretches are starts and ends by turns; those of ``before``, from a search for other
+        windows, count as hit too.
+        """
         rows = len(offsets) - 1
         # a blank before each row and a mark that no pattern has between rows
         form = np.insert(_FORM[data], np.repeat(offsets, 3), np.tile(np.array([0x20, 0x01, 0x20], np.uint8), rows + 1))
@@ -151,68 +155,113 @@ class Scanner:
             row = np.searchsorted(mark, at) - 1
             for r, p in set(zip(row.tolist(), which.tolist(), strict=True)):
                 items[r].update(ids[p])
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(change)[:-1] > 0)])
-        return n_words, np.diff(hit[nth[mark]]), [sorted(x) for x in items]
-
-
-def _benchmark_sets(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> list:
-    rows = benchmark.select(F.col(item_col).cast("string"), text_col).toLocalIterator()
-    return pattern_sets(((str(r[0]), r[1]) for r in rows if r[0] is not None), size)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10) -> DataFrame:
+        begin = nth[mark]
+        for r, known in enumerate(before or []):
+            np.add.at(change, begin[r] + np.array(known[::2], np.int64), 1)
+            np.add.at(change, begin[r] + np.array(known[1::2], np.int64), -1)
+        inside = np.cumsum(change)[:-1] > 0
+        hit = np.concatenate([[0], np.cumsum(inside)])
+        edge = np.zeros(len(inside) + 1, bool)  # where a stretch starts or ends; none goes on into the next row
+        edge[1:-1] = inside[1:] != inside[:-1]
+        spans = []
+        for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True) if want_spans else ():
+            own = np.flatnonzero(edge[i + 1 : j]) + 1 if j > i else np.empty(0, np.int64)
+            own = np.concatenate([np.zeros(int(j > i and inside[i]), np.int64), own])
+            spans.append(np.concatenate([own, np.full(len(own) % 2, j - i)]))
+        return n_words, np.diff(hit[begin]), [sorted(x) for x in items], spans
+
+
+#: Bytes of benchmark text searched for in one pass over the documents; a larger benchmark takes several.
+PASS_BYTES = 64 << 20
+
+_SCANNERS: dict[str, Scanner] = {}
+WORKER_CACHES.append(_SCANNERS.clear)
+
+
+def scanner_of(key: str, sets) -> Scanner:
+    """The scanner of a broadcast benchmark, made once in a worker process."""
+    if key not in _SCANNERS:
+        _SCANNERS.clear()
+        _SCANNERS[key] = Scanner(sets.value)
+    return _SCANNERS[key]
+
+
+def _passes(benchmark: DataFrame, item_col: str, text_col: str, size: int, pass_bytes: int) -> Iterator[tuple[str, object, bool, bool]]:
+    """The benchmark in parts of bounded size, each broadcast: a key, its sets of patterns, and whether it is the first or last part."""
+    known = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("item is not null")
+    parts = max(1, -(-int(known.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // pass_bytes))
+    for k in range(parts):
+        rows = known.filter(hash_bucket("item", parts) == k).toLocalIterator()
+        yield uuid.uuid4().hex, benchmark.sparkSession.sparkContext.broadcast(pattern_sets(((r[0], r[1]) for r in rows), size)), k == 0, k == parts - 1
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, pass_bytes: int = PASS_BYTES
+) -> DataFrame:
     """How much of each document is in windows of the benchmark.
 
     Returns one row for each row of ``docs``: the id, n_words, n_hit, n_items,
     items_sha256, contaminated and the array ``items`` (sorted as strings).  Null
     and empty texts have no words.  Items without words or id give no windows; an
-    item of fewer words than ``size`` is one window.  The benchmark is a set of
-    queries that goes to the executors in sets of bounded size; the document
-    table is never shuffled, each row is scanned where it is read.
+    item of fewer words than ``size`` is one window.  Rows of one item id count as one
+    item.  The benchmark is a set of queries that goes to the executors in parts of about
+    ``pass_bytes`` of text; there is one pass over the documents for each, and all but
+    the last write what they found, with the texts.  The document table is never shuffled.
     """
-    spark = docs.sparkSession
-    sets = spark.sparkContext.broadcast(_benchmark_sets(benchmark, item_col, item_text_col, size))
-    kind = docs.schema[id_col].dataType
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    for key, sets, first, last in _passes(benchmark, item_col, item_text_col, size, pass_bytes):
+        rows = _searched(rows if first else written(rows, "searched"), kind, key, sets, first, last)
+    return rows.select(
+        F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items",
+    )
+
+
+def _searched(rows: DataFrame, kind: str, key: str, sets, first: bool, last: bool) -> DataFrame:
+    """``rows`` (id, text and, but for the first pass, spans and items) after one more pass: these columns or, of the last, the counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(sets.value)
+        scanner = scanner_of(key, sets)
         for batch in batches:
             data, offsets = string_buffers(batch.column(1))
+            known, had = (None, None) if first else (batch.column(2).to_pylist(), batch.column(3).to_pylist())
             for i, j in row_slices(offsets):
-                n, hit, items = scanner.scan(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, j - i),
-                        pa.array(n, pa.int64()),
-                        pa.array(hit, pa.int64()),
-                        pa.array([len(x) for x in items], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                        pa.array(hit > 0),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    ["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"],
-                )
-
-    out = docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(
-        lean(run), f"id {kind.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
-    )
-    return out.withColumnRenamed("id", id_col)
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10) -> DataFrame:
-    """Rows of ``docs`` without a word in a window of the benchmark, with all their columns; nothing is shuffled."""
-    sets = docs.sparkSession.sparkContext.broadcast(_benchmark_sets(benchmark, item_col, item_text_col, size))
+                n, hit, items, spans = scanner.scan(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], known and known[i:j], not last)
+                if had:
+                    items = [sorted({*x, *y}) for x, y in zip(items, had[i:j], strict=True)]
+                found = pa.array(items, pa.list_(pa.string()))
+                if last:
+                    columns, names = [found, pa.array(n, pa.int64()), pa.array(hit, pa.int64())], ["items", "n_words", "n_hit"]
+                else:
+                    columns, names = [batch.column(1).slice(i, j - i), pa.array([x.tolist() for x in spans], pa.list_(pa.int64())), found], ["text", "spans", "items"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *columns], ["id", *names])
+
+    return rows.mapInArrow(lean(run), f"id {kind}, " + ("items array<string>, n_words long, n_hit long" if last else "text string, spans array<long>, items array<string>"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """Rows of ``docs`` without a word in a window of the benchmark, with all their columns; nothing is shuffled.
+
+    Rows of null and empty texts stay, and so do repeated ones; ids are not looked at.  An
+    empty benchmark, or one without words, drops nothing.
+    """
     at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(sets.value)
-        for batch in batches:
-            data, offsets = string_buffers(batch.column(at))
-            clean = [scanner.scan(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[1] == 0 for i, j in row_slices(offsets)]
-            if clean:
-                yield batch.filter(pa.array(np.concatenate(clean)))
+    def clean(rows: DataFrame, key: str, sets) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scanner = scanner_of(key, sets)
+            for batch in batches:
+                data, offsets = string_buffers(batch.column(at))
+                good = [scanner.scan(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[1] == 0 for i, j in row_slices(offsets)]
+                if good:
+                    yield batch.filter(pa.array(np.concatenate(good)))
+
+        return rows.mapInArrow(lean(run), rows.schema)
 
-    return docs.mapInArrow(lean(run), docs.schema)
+    for key, sets, first, _ in _passes(benchmark, item_col, item_text_col, size, pass_bytes):
+        docs = clean(docs if first else written(docs, "searched"), key, sets)
+    return docs
 
 
 ORACLE = r"""
