@@ -86,3 +86,29 @@ def test_pipeline_stages(spark, small):
     assert sorted({r.doc_id for r in packed.collect()}) == clean
     whole = corpus_pipeline.run(spark, small)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, packed.collect()))
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, id string, sig long, n long, kept boolean, _digest string, items string, _text_digest string"
+
+
+def awkward(spark, rows):
+    return spark.createDataFrame([(i, t, None, None, None, "id", 7, None, True, "d", None, f"{i} {t}") for i, t in rows], AWKWARD)
+
+
+def test_stages_take_awkward_rows(spark, small):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
+    rows = [(0, "B"), (1, "A"), (1, "B"), (1, "a  b"), (None, "a b"), (None, None), (2, ""), (2, None), (None, None), (3, long), (None, long + " more"), (4, "word " * 40_000), (4, "word " * 40_000)]
+    docs, stage = awkward(spark, rows), dict(corpus_pipeline.STAGES)
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        assert f(spark, docs, small).columns == docs.columns, name
+        assert f(spark, docs.limit(0), small).count() == 0, name
+    kept = [(r.doc_id, r.text, r._text_digest) for r in stage["exact_copies"](spark, docs, small).collect()]
+    assert sorted(re.sub(r"\s+", " ", t or "") for _, t, _ in kept) == sorted({re.sub(r"\s+", " ", t or "") for _, t in rows})
+    assert {(0, "B"), (1, "A"), (1, "a  b"), (3, long)} <= {(i, t) for i, t, _ in kept} and all(d == f"{i} {t}" for i, t, d in kept)
+    near = [(r.doc_id, r.text) for r in stage["near_copies"](spark, docs, small).collect()]
+    want = [(0, "B"), (1, "a  b"), (None, None), (None, None), (2, ""), (2, None), (3, long), (4, "word " * 40_000), (1, "A")]  # rows without words all stay
+    assert sorted(near, key=str) == sorted(want, key=str)
+    assert stage["benchmark_free"](spark, docs, small).count() == len(rows)
+    pieces = stage["packed"](spark, docs, small).collect()
+    assert sum(r.start == 0 for r in pieces) == len(rows) and all(r.length <= 4096 for r in pieces)
+    assert stage["packed"](spark, docs.limit(0), small).count() == 0

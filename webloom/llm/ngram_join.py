@@ -485,7 +485,12 @@ def with_signature(docs: DataFrame, text_col: str, n_name: str, sig_name: str, s
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of ``docs``, that with the smallest id, with all its columns; rows without words all stay."""
+    """One row of each component of ``docs``, that with the smallest id, with all its columns; rows without words all stay.
+
+    Ids may be null or repeated: rows are then named by id and shingle set, and one row of
+    each component stays, with an id if any has one.  An empty table stays empty, and
+    columns of any name go through.
+    """
     spark = docs.sparkSession
     with arrow_rows(spark, BATCH_ROWS):
         found = written(_components(docs, id_col, text_col, 5, 75, 2), "components")
@@ -498,3 +503,22 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         marked = written(with_signature(docs, text_col, n, sig), "signed")
     kept = only_rows(marked.filter(F.col(n) > 0), best.select(F.col("low.id").alias(id_col), F.col("low.sig").alias(sig)), [id_col, sig])
     return kept.unionByName(marked.filter(F.col(n) == 0)).drop(n, sig)
+
+
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS p FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), meets AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM meets JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * k >= 75 * (x.n + y.n - k)
+), reach(doc, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT b, other FROM reach JOIN links ON a = doc
+)
+SELECT d.doc_id AS doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN (SELECT doc, min(other) AS component_id FROM reach GROUP BY doc) ON doc = d.doc_id
+"""

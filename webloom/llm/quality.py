@@ -96,7 +96,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     letters = np.maximum(counts["upper"] + counts["lower"], 1)
     shares = [counts[k] / (letters if k == "upper" else bytes_) for k in _COUNTED]
     out = [
-        np.log1p(size), np.log1p(words), mean, spread, np.minimum(longest, 1000),
+        np.log1p(size), np.log1p(words), mean, spread, np.minimum(longest, 1000),  # a word of more bytes counts as one of a thousand
         *shares,
         counts["shout"] / some, counts["bar"] / some, counts["symbol"] / some, counts["stop"] / some, by_row(capital) / some, by_row(shouted) / some,
         distinct / some, top / some, by_row(next_) / some, by_row(second) / some, by_row(length <= 3) / some, size / (counts["line"] + 1),
@@ -258,7 +258,12 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` predicted to be of good quality, with all their columns; nothing is shuffled."""
+    """Rows of ``docs`` predicted to be of good quality, with all their columns; nothing is shuffled.
+
+    Null texts score as empty ones, rows that repeat an id are each judged by their text,
+    and a null id has no label.  An empty table stays empty; without labels of both kinds
+    all rows stay or none.  Columns of any name go through.
+    """
     trees = docs.sparkSession.sparkContext.broadcast(train(docs, labels, crc_bucket(id_col, 4) != 2, id_col, text_col))
     at = docs.columns.index(text_col)
 

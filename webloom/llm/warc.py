@@ -393,3 +393,13 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     result.
     """
     return read_back(write_archive(pages, least_bytes), pages)
+
+
+ORACLE = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+last AS (SELECT payload, max(page_id) AS top FROM p GROUP BY payload)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p JOIN last USING (payload)
+"""
