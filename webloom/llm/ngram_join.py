@@ -39,10 +39,10 @@ MOST_FREQUENT = 500_000
 BLOCK_ENTRIES = 300_000
 #: A column with more entries than this, of several components, is long and multiplied in blocks of rows.
 LONG_COLUMN = 128
-#: Rows of an Arrow batch; those of a join hold two whole sets each.
+#: Rows of an Arrow batch, so that a batch of long texts stays small.
 BATCH_ROWS = 1000
-#: Rows of such a block, about.
-BLOCK_ROWS = 512
+#: Rows of such a block, and shingles in them, about.
+BLOCK_ROWS, BLOCK_ITEMS = 512, 500_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +238,7 @@ def enough(both: Column, n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """The full set (sig, items as bytes) of each of ``sigs``, made anew from one document of the class and written once."""
+    """The full set (sig, items) of each of ``sigs``, made anew from one document of the class and written once."""
     wanted, n = written_counted(sigs.distinct().join(classes.select("sig", F.col("low").alias("wanted")), "sig").select("wanted"), "wanted")
     known = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
     rows = docs.join(known, docs["id"].eqNullSafe(known["wanted"]), "left_semi").select("text")
@@ -248,27 +248,24 @@ def full_rows(sigs: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -
             data, offsets = string_buffers(batch.column(0))
             for i, j in row_slices(offsets):
                 sets, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
-                blobs = [sets[x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([_signed(signatures(sets, at)), pa.array(blobs, pa.binary())], ["sig", "items"])
+                yield pa.RecordBatch.from_arrays([_signed(signatures(sets, at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), _signed(sets))], ["sig", "items"])
 
-    return written(rows.mapInArrow(lean(run), "sig long, items binary"), "sets").dropDuplicates(["sig"])
+    sets, found = written_counted(rows.mapInArrow(lean(run), "sig long, items array<long>"), "sets")
+    # only an id that is null or on several rows can bring a set in twice
+    return sets if found <= n else written(sets.dropDuplicates(["sig"]), "sets")
 
 
-def links_among(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b of signatures, each once) whose sets link: the full rows ``held`` multiplied out."""
-
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y).clip(max=len(x) - 1)
-                good.append(int((x[at] == y).sum()) * (100 + percent) >= (len(x) + len(y)) * percent)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+def links_among(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the ``n_pairs`` ``pairs`` (a, b of signatures, each once) whose sets link: the full rows multiplied out.
 
+    Two rows are multiplied at a time, so that pairs of very long sets take no more
+    memory than these.
+    """
+    wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
+    held = sets.join(F.broadcast(wanted) if 2 * n_pairs <= BROADCAST_IDS else wanted, "sig", "left_semi")
     one = pairs.join(held.select(F.col("sig").alias("a"), F.col("items").alias("x")), "a")
-    both = one.join(held.select(F.col("sig").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(lean(multiply), "a long, b long")
+    both = one.join(held.select(F.col("sig").alias("b"), F.col("items").alias("y")), "b")
+    return both.filter(enough(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"), percent)).select("a", "b")
 
 
 def block_product(left: list[np.ndarray], right: list[np.ndarray], width: int = 2048) -> np.ndarray:
@@ -323,7 +320,8 @@ def family_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     base = float(np.log(100 / percent)) if percent < 100 else 1.0
     rows = least.join(families, "h0", "left").select("sig", "n", "root", F.coalesce("family", "h0").alias("family"), F.floor(F.log("n") / base).alias("level"))
     rows = written(rows, "family-rows")
-    counts = rows.groupBy("family", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    most = F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_ITEMS)
+    counts = rows.groupBy("family", "level").agg(F.ceil(most).cast("int").alias("parts"))
     full = rows.join(counts, ["family", "level"]).join(sets, "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")))
     other = counts.select("family", F.col("level").alias("level2"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part2"))
     met = full.join(other, "family").filter(F.abs(F.col("level") - F.col("level2")) <= 1)
@@ -334,7 +332,7 @@ def family_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         out: list[tuple[int, int]] = []
         if len(table.column("root").unique()) > 1:
             first, sig = table.column("first").to_pylist(), table.column("sig").to_pylist()
-            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("items")]
+            items = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in table.column("items")]
             alone = table.column("one")[0] == table.column("two")[0]
             left = [i for i, f in enumerate(first) if f]
             right = left if alone else [i for i, f in enumerate(first) if not f]
@@ -446,7 +444,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
         tested = pairs if tested is None else tested.unionByName(pairs)
         open_, n_open = written_counted(within_bound(pairs, rows_of, percent), "open")
         if n_open:
-            found = written(links_among(open_, sets, percent), "links")
+            found = written(links_among(open_, n_open, sets, percent), "links")
             links = found if links is None else links.unionByName(found)
         if links is None:
             continue
