@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from webloom.llm import exact_dedup, sharding
 
@@ -139,3 +140,13 @@ def test_cut_groups_are_packed_anew():
 def test_few_rows(spark, n):
     rows = [(i, "same" if i % 2 else f"{i}") for i in range(n)]
     check_shards(rows, sharding.shard_documents(docs_of(spark, rows)).collect(), 8)
+
+
+def test_levels_are_sorted_runs(spark):
+    rows = exact_dedup.digests(spark.createDataFrame([(i, f"t{i % 7}") for i in range(100)], "doc_id long, text string"), "doc_id", "text")
+    levels = exact_dedup.tree_merge(rows.withColumn("_run", F.col("_id") % 64), 8, 64)
+    assert len(levels) == 3
+    plan = levels[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") >= 2 and plan.count("Window [row_number()") >= 2 and "Python" not in plan  # the head of each stretch of a sorted run
+    got = levels[-1].select("_low", "_n").collect()
+    assert sorted(tuple(r) for r in got) == [(i, 15 if i < 2 else 14) for i in range(7)]
