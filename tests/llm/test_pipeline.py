@@ -112,3 +112,28 @@ def test_stages_take_awkward_rows(spark, small):
     pieces = stage["packed"](spark, docs, small).collect()
     assert sum(r.start == 0 for r in pieces) == len(rows) and all(r.length <= 4096 for r in pieces)
     assert stage["packed"](spark, docs.limit(0), small).count() == 0
+
+
+def test_whole_rows_go_to_workers_in_small_batches(spark, small):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = awkward(spark, [(i, f"some words of row {i}") for i in range(3000)]).coalesce(1)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    try:
+        for name in ("quality_filter", "benchmark_free"):
+            spark.conf.set(key, "10000")
+            kept = dict(corpus_pipeline.STAGES)[name](spark, docs, small)
+            seen = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+            assert sum(seen) == 3000 and max(seen) <= 1000, name
+            assert kept.count() in (0, 3000), name  # texts that differ in a number score the same
+            spark.conf.set(key, "100")  # fewer stay fewer
+            dict(corpus_pipeline.STAGES)[name](spark, docs, small)
+            assert spark.conf.get(key) == "100", name
+    finally:
+        spark.conf.set(key, before)

@@ -167,6 +167,22 @@ def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Rows of an Arrow batch at most, where whole rows go to a Python worker in a plan that the caller runs.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession, n: int = BATCH_ROWS) -> None:
+    """From now on, Arrow batches of this session have at most ``n`` rows; fewer stay fewer.
+
+    A plan takes the number when it runs, so an operator that only returns a plan can't
+    put the number back as :func:`arrow_rows` does.  Batches are held whole by the executor,
+    in Arrow's own memory, and by the worker; results don't depend on their size.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= n:
+        spark.conf.set(key, str(n))
+
+
 def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column, without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

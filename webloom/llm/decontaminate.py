@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import WORKER_CACHES, hash_bucket, lean, row_slices, string_buffers, written
+from webloom.llm.common import WORKER_CACHES, clear_worker_caches, hash_bucket, lean, row_slices, small_batches, string_buffers, written
 
 _TABLE_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -181,7 +181,7 @@ WORKER_CACHES.append(_SCANNERS.clear)
 def scanner_of(key: str, sets) -> Scanner:
     """The scanner of a broadcast benchmark, made once in a worker process."""
     if key not in _SCANNERS:
-        _SCANNERS.clear()
+        clear_worker_caches()  # what other operators have left in this worker, too
         _SCANNERS[key] = Scanner(sets.value)
     return _SCANNERS[key]
 
@@ -244,9 +244,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """Rows of ``docs`` without a word in a window of the benchmark, with all their columns; nothing is shuffled.
 
     Rows of null and empty texts stay, and so do repeated ones; ids are not looked at.  An
-    empty benchmark, or one without words, drops nothing.
+    empty benchmark, or one without words, drops nothing.  The session's Arrow batches are
+    small from then on.
     """
     at = docs.columns.index(text_col)
+    small_batches(docs.sparkSession)
 
     def clean(rows: DataFrame, key: str, sets) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -259,8 +259,10 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for r in pieces.groupBy("cls").count().collect():  # a row for each class, a few hundred
         demand[r[0] - 1] = r[1]
     held = places(cutting_stock(demand, limit)[0])
-    schema = T.StructType([T.StructField(x, T.LongType()) for x in ("cls", "low", "high", "each", "first", "place")])
-    spans = docs.sparkSession.createDataFrame(held, schema)  # at most about two patterns for each class, with a row for each class they hold
+    names = ("cls", "low", "high", "each", "first", "place")
+    # an Arrow table goes to the JVM as it is, a list by Python workers of another kind, which would stay beside those at work
+    table = pa.Table.from_arrays([pa.array([r[k] for r in held], pa.int64()) for k in range(len(names))], list(names))
+    spans = docs.sparkSession.createDataFrame(table, T.StructType([T.StructField(x, T.LongType()) for x in names]))  # at most about two patterns for each class, with a row for each class they hold
     ranked = with_rank(pieces, ["cls"], "b", ["id", "start", "ids_crc32"], "rank", small=True).withColumn("cls", F.col("cls").cast("long"))
     at = F.col("rank") - F.col("low")
     placed = ranked.join(F.broadcast(spans), (ranked["cls"] == spans["cls"]) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select(

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webloom.llm.bytewords import LOWER, NOT_BLANK, byte_classes, span_hashes, word_spans
-from webloom.llm.common import crc_bucket, lean, row_slices, string_buffers
+from webloom.llm.common import clear_worker_caches, crc_bucket, lean, row_slices, small_batches, string_buffers
 
 #: Labelled rows that the trees are fitted on, at most.
 SAMPLE_ROWS = 20_000
@@ -262,12 +262,15 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     Null texts score as empty ones, rows that repeat an id are each judged by their text,
     and a null id has no label.  An empty table stays empty; without labels of both kinds
-    all rows stay or none.  Columns of any name go through.
+    all rows stay or none.  Columns of any name go through.  The session's Arrow batches
+    are small from then on.
     """
+    small_batches(docs.sparkSession)
     trees = docs.sparkSession.sparkContext.broadcast(train(docs, labels, crc_bucket(id_col, 4) != 2, id_col, text_col))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker_caches()
         for batch in batches:
             yield batch.filter(pa.array(_scores(trees.value, batch.column(at)) >= THRESHOLD))
 
