@@ -45,6 +45,61 @@ def test_near_pairs_equal_brute_force(spark):
     want = {(i, j, d) for i in range(len(fps)) for j in range(i + 1, len(fps)) if (d := ((fps[i] ^ fps[j]) % 2**64).bit_count()) <= 3}
     assert {tuple(r) for r in neardup.near_pairs(df, "k").collect()} == want
 
+def test_simhash_equals_a_loop_over_words(spark):
+    import random
+
+    random.seed(5)
+    rows = ["", " \n", None, "é 中文 x", "b" * 70000 + " " + "c" * 66000, " ".join(["w"] * 700), " ".join(random.choice(["foo", "bar", "x" * 300]) for _ in range(900))]
+    rows += ["".join(random.choice("ab \n\té中") for _ in range(random.randint(0, 60))) for _ in range(60)]
+
+    def plain(t):
+        words = [w for w in (t or "").replace("\n", " ").replace("\t", " ").split(" ") if w]
+        h = [text.fnv1a_bytes(w.encode()) for w in words]
+        f = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        return f - (f >> 63 << 64)
+
+    docs = spark.createDataFrame(list(enumerate(rows)), "k long, t string").coalesce(1)
+    assert dict(neardup.fingerprints(docs, "k", F.col("t")).collect()) == {i: plain(t) for i, t in enumerate(rows)}
+
+
+def _times_read(spark, build):
+    """The pairs or classes of twenty rows, and how often their rows were computed meanwhile."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(20).select(F.col("id").alias("k"), counted(F.col("id") % 5).alias("fp"))
+    rows = build(df).collect()
+    return rows, seen.value
+
+
+def test_fingerprints_are_computed_once_for_pairs(spark):
+    rows, n = _times_read(spark, lambda df: neardup.near_pairs(df, "k"))
+    assert n == 20 and len(rows) == 20 * 19 // 2
+
+
+def test_near_pairs_expand_no_whole_class_in_a_task(spark, monkeypatch):
+    import random
+
+    random.seed(4)
+    monkeypatch.setattr(neardup, "LOT_KEYS", 4)
+    base = [random.getrandbits(64) - 2**63 for _ in range(3)]
+    fps = [base[0]] * 60 + [base[0] ^ 7] * 30 + [base[1]] * 2 + [base[1] ^ 1, base[2], base[2] ^ 15]
+    df = spark.createDataFrame(list(enumerate(fps)), "k long, fp long")
+    got = neardup.near_pairs(df, "k")
+    want = {(i, j, d) for i in range(len(fps)) for j in range(i + 1, len(fps)) if (d := ((fps[i] ^ fps[j]) % 2**64).bit_count()) <= 3}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else tables as small as this make one task
+    try:
+        largest = max(r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert largest < 2 * len(want) // 3
+
 
 def test_text_functions(spark):
     assert one(spark, text.count_of(F.col("t"), "aa"), t="aaaa") == 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,43 +70,92 @@ def fnv1a(word: Column) -> Column:
     return F.when(word == "", F.lit(FNV_START)).otherwise(F.aggregate(octets, F.lit(FNV_START).cast("long"), step))
 
 
-def fnv1a_bytes(data: bytes) -> int:
-    """FNV-1a as an unsigned number."""
-    h = 0xCBF29CE484222325
+def fnv1a_bytes(data: bytes, h: int = 0xCBF29CE484222325) -> int:
+    """FNV-1a as an unsigned number; ``h`` is that of the bytes before."""
     for b in data:
         h = (h ^ b) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
     return h
 
 
-@F.pandas_udf(T.LongType())
-def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+#: Bytes of text that are hashed at once; arrays of numbers for each word take several times as much.
+_SLICE_BYTES = 1 << 19
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+_PRIME = np.uint64(0x100000001B3)
+#: One bit of each byte; sums of up to 255 of them stay within their bytes.
+_LANES, _LANE_WORDS = np.uint64(0x0101010101010101), 255
+
+
+@F.arrow_udf(T.LongType())
+def simhash(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """SimHash of each text: the sign of the sum of its tokens' FNV-1a bits; 0 without tokens.
 
-    Each word is hashed once a task; bits are summed for all of a text in numpy.
+    Words are hashed where they stand in the batch's bytes, a slice of rows at a time,
+    so a worker keeps nothing from one batch to the next.
     """
-    bits: dict[str, int] = {}
     for part in texts:
-        out = np.zeros(len(part), np.int64)
-        for i, text in enumerate(part):
-            words = [w for w in _split(text)] if text else []
-            if not words:
-                continue
-            for w in words:
-                if w not in bits:
-                    bits[w] = fnv1a_bytes(w.encode("utf-8", "surrogatepass"))
-            h = np.array([bits[w] for w in words], np.uint64)
-            ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-            out[i] = np.packbits(2 * ones > len(words), bitorder="little").view(np.int64)[0]
-        if len(bits) > 1_000_000:
-            bits.clear()
-        yield pd.Series(out)
-
-
-_BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
-
-
-def _split(text: str) -> list[str]:
-    return [w for w in text.translate(_BLANKS).split(" ") if w]
+        data, at = _bytes_of(part)
+        out, i = np.zeros(len(part), np.int64), 0
+        while i < len(part):
+            j = max(i + 1, int(np.searchsorted(at, at[i] + _SLICE_BYTES, "right")) - 1)
+            out[i:j] = simhash_slice(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            i = j
+        yield pa.array(out)
+
+
+def _bytes_of(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string array and where its rows begin and end; null counts as empty."""
+    part = part.cast(pa.large_string()).fill_null("")
+    _, at, data = part.buffers()
+    if not len(part):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(at, np.int64)[part.offset : part.offset + len(part) + 1]
+    return np.empty(0, np.uint8) if data is None else np.frombuffer(data, np.uint8), offsets
+
+
+def simhash_slice(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """SimHash of rows that lie one behind the other in ``data``, from ``at[i]`` to ``at[i + 1]``."""
+    out = np.zeros(len(at) - 1, np.int64)
+    inside = ~_BLANK[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edge = at[(at > 0) & (at < len(data))]
+    first[edge], last[edge - 1] = inside[edge], inside[edge - 1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return out
+    h = fnv1a_spans(data, starts, np.flatnonzero(last) + 1 - starts)
+    row = np.searchsorted(starts, at)
+    rows = np.flatnonzero(np.diff(row))
+    begin, words = row[rows], np.diff(row)[rows]
+    lots = -(-words // _LANE_WORDS)
+    lot = np.cumsum(lots) - lots
+    cut = np.repeat(begin, lots) + (np.arange(int(lots.sum())) - np.repeat(lot, lots)) * _LANE_WORDS
+    ones = np.empty((len(rows), 8, 8), np.int64)
+    for k in range(8):
+        sums = np.add.reduceat(h >> np.uint64(k) & _LANES, cut).view(np.uint8).reshape(-1, 8)
+        ones[:, :, k] = np.add.reduceat(sums, lot, axis=0, dtype=np.int64)
+    out[rows] = np.packbits(2 * ones.reshape(-1, 64) > words[:, None], axis=1, bitorder="little").view(np.int64)[:, 0]
+    return out
+
+
+def fnv1a_spans(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """FNV-1a of stretches of ``data``, a byte of all of them at a time; the last few long ones singly."""
+    order = np.argsort(np.minimum(length, 65535).astype(np.uint16), kind="stable")[::-1]
+    s, n = starts[order], length[order]
+    h = np.full(len(s), 0xCBF29CE484222325, np.uint64)
+    left = len(s) - np.cumsum(np.bincount(np.minimum(length, 65535)))
+    p, m = 0, len(s)
+    while m >= 32 and p < 65535:
+        h[:m] = (h[:m] ^ data[s[:m] + p]) * _PRIME
+        p += 1
+        m = int(left[p]) if p < len(left) else 0
+    for i in range(m):
+        h[i] = fnv1a_bytes(data[s[i] + p : s[i] + n[i]].tobytes(), int(h[i]))
+    out = np.empty_like(h)
+    out[order] = h
+    return out
 
 
 def hamming(a: Column, b: Column) -> Column:
