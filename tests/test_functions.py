@@ -81,6 +81,30 @@ def test_fingerprints_are_computed_once_for_pairs(spark):
     assert n == 20 and len(rows) == 20 * 19 // 2
 
 
+def test_fingerprints_are_computed_once_for_classes(spark):
+    rows, n = _times_read(spark, lambda df: neardup.near_classes(df, "k"))
+    assert n == 20 and {tuple(r) for r in rows} == {(k, k % 5, k % 5, 4) for k in range(20)}
+
+
+def test_simhash_keeps_no_words_between_batches():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def batches():
+        for i in range(40):
+            yield pa.array([" ".join(f"w{i}x{j}" for j in range(k, k + 500)) for k in range(0, 5000, 500)])
+
+    tracemalloc.start()
+    try:
+        for _ in text.simhash.func(batches()):
+            pass
+        now, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 8e6
+
+
 def test_near_pairs_expand_no_whole_class_in_a_task(spark, monkeypatch):
     import random
 

@@ -103,10 +103,11 @@ def near_classes(fps: DataFrame, key: str, parts: int = 64) -> DataFrame:
     """key, fp, the smallest key of equal fingerprints and how many there are, without listing their pairs.
 
     Classes are summed up in parts, and the sums go back to the parts, so that one that
-    holds a third of all rows is no single task's.
+    holds a third of all rows is no single task's.  Fingerprints are computed once and
+    written to the shared folder.
     """
     part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-    rows = fps.select(key, "fp", part.alias("_part"))
+    rows = saved(fps.select(key, "fp"), "fingerprints").withColumn("_part", part)
     sums = rows.groupBy("fp", "_part").agg(F.min(key).alias("_low"), F.count(F.lit(1)).alias("_n"))
     whole = sums.groupBy("fp").agg(F.min("_low").alias("first_key"), F.sum("_n").alias("n"))
     return rows.join(sums.select("fp", "_part").join(whole, "fp"), ["fp", "_part"]).select(key, "fp", "first_key", "n")
