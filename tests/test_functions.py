@@ -281,3 +281,24 @@ def test_near_links_and_classes_say_what_pairs_do(spark):
     pairs = {(a, b, 0) for ks in who.values() for a in ks for b in ks if a < b}
     pairs |= {(min(a, b), max(a, b), r.dist) for r in neardup.near_links(df).collect() for a in who[r.fp] for b in who[r.fp2]}
     assert pairs == {tuple(r) for r in neardup.near_pairs(df, "k").collect()}
+
+
+def test_parse_pages_reads_each_page_once(spark):
+    pages = spark.createDataFrame([("http://e.org/", "<p>" + "word " * 30)], "url string, html string")
+    parsed = html.parse_pages(pages)
+    assert parsed.count() == 1
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [read") == 1
+
+
+def test_pages_of_a_batch_are_read_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(html, "_SLICE_ROWS", 3)
+    monkeypatch.setattr(html, "_SLICE_BYTES", 100)
+    pages = ["<p>a"] * 7 + ["<p>" + "b" * 500, None, "", "<p>" + "c" * 60, "<p>" + "d" * 60, "<title>t</title><p>é 中<a href='x'>"]
+    urls = [f"http://e.org/{i}" for i in range(len(pages) - 1)] + [None]
+    parts = list(html.page_udf().func(iter([(pa.array(pages), pa.array(urls)), (pa.array(pages).slice(5, 4), pa.array(urls).slice(5, 4)), (pa.array([], "string"), pa.array([], "string"))])))
+    want = [html.read_page(h, u) for h, u in zip(pages, urls, strict=True)]
+    assert [r for p in parts for r in p.to_pylist()] == want + want[5:9]
+    assert max(map(len, parts)) == 3 and [h for h in map(len, parts)][:4] == [3, 3, 1, 1]

@@ -11,7 +11,9 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ MENU_NOISE = Noise(
 SKIP_PHRASE = "Skip to main content"
 
 PAGE_TYPE = "struct<title: string, og_title: string, content: string, links: array<string>, published: string, time_tag: string, description: string>"
+_PAGE_ARROW = pa.struct([(k, pa.list_(pa.string()) if k == "links" else pa.string()) for k in ("title", "og_title", "content", "links", "published", "time_tag", "description")])
 
 
 class _Reader(HTMLParser):
@@ -118,15 +121,35 @@ def read_page(html: str | None, url: str | None, noise: Noise = COOKIE_NOISE, li
     }
 
 
+#: Pages are read in slices of at most this many rows and about this many bytes of html; a longer page is alone.
+_SLICE_ROWS, _SLICE_BYTES = 256, 1 << 20
+
+
+def _slices(html: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that are read at once."""
+    size, i = pc.fill_null(pc.binary_length(html), 0).to_numpy(zero_copy_only=False).cumsum(dtype=np.int64), 0
+    while i < len(html):
+        before = size[i - 1] if i else 0
+        j = min(max(i + 1, int(np.searchsorted(size, before + _SLICE_BYTES, "right"))), i + _SLICE_ROWS)
+        yield i, j
+        i = j
+
+
 def page_udf(noise: Noise = COOKIE_NOISE, links_from: str = "raw"):
-    """A UDF of (html, url) that gives :data:`PAGE_TYPE`."""
+    """A UDF of (html, url) that gives :data:`PAGE_TYPE`.
+
+    A worker holds the fields of one slice of a batch at a time.  It counts as
+    nondeterministic, or a filter on a field would be moved below it and every page be read twice.
+    """
 
-    @F.pandas_udf(PAGE_TYPE)
-    def read(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(PAGE_TYPE)
+    def read(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for html, url in parts:
-            yield pd.DataFrame([read_page(h, u, noise, links_from) for h, u in zip(html, url, strict=True)], columns=["title", "og_title", "content", "links", "published", "time_tag", "description"])
+            for i, j in _slices(html):
+                rows = zip(html[i:j].to_pylist(), url[i:j].to_pylist(), strict=True)
+                yield pa.array([read_page(h, u, noise, links_from) for h, u in rows], _PAGE_ARROW)
 
-    return read
+    return read.asNondeterministic()
 
 
 def parse_pages(pages: DataFrame, root_domain: str = "", noise: Noise = COOKIE_NOISE, min_content: int = 50, links_from: str = "raw") -> DataFrame:
