@@ -302,3 +302,17 @@ def test_pages_of_a_batch_are_read_in_slices(monkeypatch):
     want = [html.read_page(h, u) for h, u in zip(pages, urls, strict=True)]
     assert [r for p in parts for r in p.to_pylist()] == want + want[5:9]
     assert max(map(len, parts)) == 3 and [h for h in map(len, parts)][:4] == [3, 3, 1, 1]
+
+
+def test_metadata_comes_in_slices_of_a_batch(spark):
+    pages = [(f"http://e.org/{i}", f"<title>t{i}</title><meta name='description' content='d{i}'><p>{'x' * 3000}") for i in range(700)] + [("u", None)]
+    got = html.page_metadata(spark.createDataFrame(pages, "url string, html string").coalesce(1))
+    assert {tuple(r) for r in got.collect()} == {(f"http://e.org/{i}", f"t{i}", "Unknown", f"d{i}") for i in range(700)} | {("u", "No Title", "Unknown", "")}
+    parts = [len(p) for p in html.page_udf(html.SIDEBAR_NOISE).func(iter([_arrow_pair(pages)]))]
+    assert sum(parts) == 701 and max(parts) <= 256
+
+
+def _arrow_pair(pages):
+    import pyarrow as pa
+
+    return pa.array([h for _, h in pages]), pa.array([u for u, _ in pages])
