@@ -316,3 +316,21 @@ def _arrow_pair(pages):
     import pyarrow as pa
 
     return pa.array([h for _, h in pages]), pa.array([u for u, _ in pages])
+
+
+def test_builtin_simhash_sends_no_words_by_document(spark, monkeypatch):
+    import random
+    import re
+
+    random.seed(6)
+    monkeypatch.setattr(neardup, "COMMON_WORDS", 3)
+    monkeypatch.setattr(neardup, "COMMON_BYTES", 4)
+    vocabulary = ["the", "of", "a", "é", "中文", "zebra", "x" * 90] + [f"w{i}" for i in range(50)]
+    rows = [(i, " ".join(random.choices(vocabulary, k=random.randint(0, 70)))) for i in range(150)] + [(150, None), (151, "the " * 70000)]
+    docs = spark.createDataFrame(rows, "k long, t string")
+    got = neardup.fingerprints_sql(docs, "k", F.col("t"))
+    assert sorted(got.collect()) == sorted(neardup.fingerprints(docs, "k", F.col("t")).collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)
+    assert keys and not any("k#" in k and "w#" in k for k in keys)
+    assert "SortMergeJoin [w#" not in plan

@@ -66,7 +66,7 @@ def fnv1a(word: Column) -> Column:
         high = F.shiftrightunsigned(x, 32) * 435 + F.shiftrightunsigned(low, 32) + F.shiftleft(x.bitwiseAND(F.lit(LOW32)), 8)
         return F.shiftleft(high.bitwiseAND(F.lit(LOW32)), 32).bitwiseOR(low.bitwiseAND(F.lit(LOW32)))
 
-    octets = F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.conv(F.hex(F.substring(F.encode(word, "UTF-8"), i, F.lit(1))), 16, 10).cast("long"))
+    octets = F.transform(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda c: F.ascii(c).cast("long"))
     return F.when(word == "", F.lit(FNV_START)).otherwise(F.aggregate(octets, F.lit(FNV_START).cast("long"), step))
 
 

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.text import fnv1a, hamming, simhash, tokens
+from webloom.functions.text import LOW32, fnv1a, hamming, simhash, tokens
 from webloom.plans.storage import saved
 
 
@@ -17,13 +17,24 @@ def fingerprints(df: DataFrame, key: str, text: Column) -> DataFrame:
     return df.select(key, simhash(text).alias("fp"))
 
 
+#: Words that are hashed once and broadcast; others are hashed where they stand.
+COMMON_WORDS, COMMON_BYTES = 65_536, 64
+
+
 def fingerprints_sql(df: DataFrame, key: str, text: Column) -> DataFrame:
-    """The same in built-in functions: the vocabulary is hashed once, bits are summed by document."""
-    words = df.select(key, F.explode(tokens(text)).alias("w")).groupBy(key, "w").agg(F.count(F.lit(1)).alias("n"))
-    hashed = words.select("w").distinct().withColumn("h", fnv1a(F.col("w")))
-    bits = [F.sum(F.when(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(1).cast("long")) == 1, F.col("n")).otherwise(-F.col("n"))).alias(f"b{i}") for i in range(64)]
-    sums = words.join(hashed, "w").groupBy(key).agg(*bits)
-    fp = reduce(lambda a, b: a.bitwiseOR(b), [F.when(F.col(f"b{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for i in range(64)])
+    """The same in built-in functions: frequent words are hashed once, the others in place; bits are summed by document.
+
+    No word is sent anywhere but to be counted, so a document is summed up where it
+    was read and what is shuffled is its sums.  A sum holds two bits, 32 places apart.
+    """
+    words = df.select(key, F.explode(tokens(text)).alias("w"))
+    common = words.filter(F.octet_length("w") <= COMMON_BYTES).groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy(F.desc("n")).limit(COMMON_WORDS)
+    hashed = words.join(F.broadcast(common.select("w", fnv1a(F.col("w")).alias("h"))), "w", "left").select(key, F.coalesce("h", fnv1a(F.col("w"))).alias("h"))
+    two = F.lit((1 << 32) + 1).cast("long")
+    bits = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(two)).alias(f"b{i}") for i in range(32)]
+    sums = hashed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *bits)
+    ones = [F.col(f"b{i}").bitwiseAND(F.lit(LOW32)) for i in range(32)] + [F.shiftrightunsigned(f"b{i}", 32) for i in range(32)]
+    fp = reduce(lambda a, b: a.bitwiseOR(b), [F.when(2 * one > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for i, one in enumerate(ones)])
     return df.select(key).join(sums.select(key, fp.alias("fp")), key, "left").select(key, F.coalesce("fp", F.lit(0).cast("long")).alias("fp"))
 
 
